@@ -147,5 +147,26 @@ def per_group(df: DataFrame, key: str, fn: Callable[[pa.Table], pa.Table], schem
     return df.groupBy(key).applyInArrow(fn, schema)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (runs of other than ASCII white space, A-Z in lower case) of
+    all texts end to end, and where each text's words begin (and the end)."""
+    raw = [t.encode() for t in texts]
+    joined = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    firsts = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum([len(r) + 1 for r in raw], out=firsts[1:])
+    white = _SPACE[joined]
+    edge = np.flatnonzero(white[1:] != white[:-1]) + 1
+    if len(white) and not white[0]:
+        edge = np.append(0, edge)
+    starts, ends = edge[::2], edge[1::2]
+    return range_hashes(_LOWER[joined], starts, ends), np.searchsorted(starts, firsts)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -12,12 +12,24 @@ from .common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -30,6 +42,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pii_digests
+
+    return pii_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import nearest
 
