@@ -48,6 +48,16 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .knlm import score, train
+    from .langid import fold
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(fold(parts=7) == 2, F.lit(False))
+    marks = score(docs, train(docs.where(~held)))
+    return marks.withColumn("held_out", held).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import nearest
 
