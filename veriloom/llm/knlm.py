@@ -19,12 +19,9 @@ count each; with nothing to learn from, every word is unknown; other columns are
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
@@ -33,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, mix64, only, per_group, record, scratch, slices, texts_of, words, written
+from .shared_arrays import load, save
 
 #: Bytes of text behind a shard; a left word with a larger share of all tokens is hot.
 SHARD_BYTES = 32_000_000
@@ -44,50 +42,6 @@ START = np.uint64(0x57A2700000000002)
 CUT = np.uint64(16)
 
 
-# -- files in the shared folder -----------------------------------------------------------------
-
-
-def _local(url: str) -> str | None:
-    parts = urlparse(url)
-    return unquote(parts.path) if parts.scheme in ("", "file") else None
-
-
-def save(url: str, name: str, array: np.ndarray) -> None:
-    """Write an array under a final name at once, so that a task that runs twice does no harm."""
-    folder = _local(url)
-    if folder is not None:
-        os.makedirs(folder, exist_ok=True)
-        fd, tmp = tempfile.mkstemp(dir=folder, suffix=".part")
-        with os.fdopen(fd, "wb") as f:
-            np.save(f, array)
-        os.replace(tmp, f"{folder}/{name}.npy")
-    else:
-        from pyarrow import fs
-
-        where, path = fs.FileSystem.from_uri(url)
-        where.create_dir(path, recursive=True)
-        with where.open_output_stream(f"{path}/{name}.npy") as f:
-            np.save(f, array)
-
-
-def load(url: str, name: str) -> np.ndarray:
-    """Memory-map an array of the shared folder (a copy of it where the folder is remote)."""
-    folder = _local(url)
-    if folder is None:
-        from pyarrow import fs
-
-        where, path = fs.FileSystem.from_uri(url)
-        folder = os.path.join(tempfile.gettempdir(), f"knlm-{abs(hash(url))}")
-        os.makedirs(folder, exist_ok=True)
-        if not os.path.exists(f"{folder}/{name}.npy"):
-            fd, tmp = tempfile.mkstemp(dir=folder)
-            with os.fdopen(fd, "wb") as f, where.open_input_stream(f"{path}/{name}.npy") as g:
-                while chunk := g.read(1 << 22):
-                    f.write(chunk)
-            os.replace(tmp, f"{folder}/{name}.npy")
-    return np.load(f"{folder}/{name}.npy", mmap_mode="r")
-
-
 # -- tokens ----------------------------------------------------------------------------------------
 
 

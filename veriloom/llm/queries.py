@@ -36,6 +36,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup_digests
+
+    return dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_decode_digests
 
