@@ -1,4 +1,9 @@
-"""A corpus cleaned and packed for training, stage by stage."""
+"""A corpus cleaned and packed for training, stage by stage.
+
+documents -> language identification -> exact copies -> near copies -> personal data -> sequences.
+Each stage works on all that its predecessor kept, and its result is written as Parquet and read
+again; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -6,31 +11,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veriloom.llm import exact_dedup, langid, ngram_join, packing, pii
 from veriloom.llm.common import scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or whose language the fitted model rejects, go."""
+    return langid.accepted(docs, langid.fit(docs))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
-    from veriloom.llm.exact_dedup import deduplicated
+    """One row of each group of equal normalised texts stays: the smallest doc_id."""
+    return exact_dedup.deduplicated(docs)
 
-    return deduplicated(docs)
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles (similarity 0.75) stays."""
+    return ngram_join.near_deduplicated(docs)
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in training sequences."""
-    from veriloom.llm.packing import pack_documents
 
-    return pack_documents(docs)
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind; n_chars is counted again."""
+    return pii.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in training sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
-    ("pack", pack_sequences),
+    ("ngram_jaccard", drop_near_copies),
+    ("pii", redact_personal_data),
+    ("packing", pack_sequences),
 ]
 
-#: Language identification is a fitted model; SQL has no equivalent.
+#: A fitted model and a tokenizer are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -210,6 +210,22 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_arrow(only(docs, "doc_id", "text"), run, PREDICTION)
 
 
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose language is told with a score that calibration
+    accepts."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for b in slices(batches, chars=500_000):
+            if m is not None:
+                p, known = m.probabilities([t or "" for t in b.column(place).to_pylist()])
+                yield b.filter(pa.array(known & (p.max(1) >= m.bar)))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def fold(doc_id: str = "doc_id", parts: int = 4) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(parts))
 

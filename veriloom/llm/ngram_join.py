@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import BATCH_CHARS, map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
 from .components import connected
+from .shared_arrays import with_ids, write_ids
 
 WORDS = 5
 PERCENT = 75
@@ -378,6 +379,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
 
 def near_deduplicated(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the smallest of their component."""
-    kept = jaccard_components(docs, n, percent).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` (all columns) that are the smallest of their component; rows without
+    doc_id stay, since no other row can stand for them."""
+    kept = written(jaccard_components(docs, n, percent).where("doc_id = component_id").select("doc_id"), "kept")
+    return with_ids(docs, *write_ids(kept, kept.count()))

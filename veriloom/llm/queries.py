@@ -54,6 +54,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_render import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .knlm import score, train
     from .langid import fold

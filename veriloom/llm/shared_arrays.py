@@ -4,9 +4,19 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import map_arrow, mix64, per_group, scratch
+
+#: Identifiers in one array, about.
+SHARD_IDS = 1 << 20
 
 
 def _local(url: str) -> str | None:
@@ -48,3 +58,67 @@ def load(url: str, name: str) -> np.ndarray:
                     f.write(chunk)
             os.replace(tmp, f"{folder}/{name}.npy")
     return np.load(f"{folder}/{name}.npy", mmap_mode="r")
+
+
+# -- rows by identifier, without a shuffle of what they carry ----------------------------------------
+
+
+def _shard(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def write_ids(ids: DataFrame, rows: int) -> tuple[str, int]:
+    """Write the (non-null) identifiers of a one-column frame as sorted arrays; ``rows`` sets the
+    number of shards.  Where they are, and the bits of a shard's name."""
+    name = ids.columns[0]
+    bits = max(1, (rows // SHARD_IDS).bit_length())
+    url = scratch(ids.sparkSession, "ids")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(_shard(own, bits))], names=["id", "shard"])
+
+    def put(t: pa.Table) -> pa.Table:
+        own = np.unique(t.column("id").to_numpy())
+        save(url, f"ids-{t.column('shard')[0].as_py()}", own)
+        return pa.table({"n": pa.array([len(own)], pa.int64())})
+
+    dealt = map_arrow(ids.where(F.col(name).isNotNull()).select(F.col(name).cast("long").alias("id")), deal, "id long, shard long")
+    per_group(dealt, "shard", put, "n long").agg(F.sum("n")).first()
+    return url, bits
+
+
+@lru_cache(256)
+def _mapped(url: str, name: str) -> np.ndarray | None:
+    try:
+        return load(url, name)
+    except FileNotFoundError:
+        return None
+
+
+def among(ids: np.ndarray, url: str, bits: int) -> np.ndarray:
+    """Which identifiers were written."""
+    out = np.zeros(len(ids), bool)
+    shard = _shard(ids, bits)
+    for k in np.unique(shard).tolist():
+        have = _mapped(url, f"ids-{k}")
+        if have is not None and len(have):
+            at = np.flatnonzero(shard == k)
+            out[at] = have[np.minimum(np.searchsorted(have, ids[at]), len(have) - 1)] == ids[at]
+    return out
+
+
+def with_ids(docs: DataFrame, url: str, bits: int, name: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose identifier was written or is null."""
+    place = docs.columns.index(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                col = b.column(place)
+                own = col.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                keep = among(own, url, bits) | col.is_null().to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(keep))
+
+    return map_arrow(docs, run, docs.schema)
