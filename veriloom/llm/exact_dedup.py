@@ -1,12 +1,13 @@
 """Exact de-duplication by content sort, in DataFrame operations only.
 
-Normalised texts are range-partitioned by sampled splitters (``repartitionByRange``), sorted within
-partitions, and a window over the sorted rows compares each text in full with its neighbour and
-keeps the smallest identifier of a run of equals.  The sort is external (it spills), and the window
-needs no second exchange, since a range partitioning by the text keeps equals together.
+Normalised texts are range-partitioned by sampled splitters (``repartitionByRange`` on the head of a
+text, then its digest), sorted within partitions, and a window over the sorted rows compares each text
+in full with its neighbour and keeps the smallest identifier of a run of equals.  The sort is external
+(it spills), and the window needs no second exchange, since the range partitioning keeps equals
+together.
 
 A text whose copies would fill partitions (more than a share of all rows) is salted: copies are
-spread over several ranges of (text, salt), and what joins their ranges (size and smallest identifier)
+spread over several ranges by a salt, and what joins their ranges (size and smallest identifier)
 is found before, by an aggregation on the SHA-256 of whole texts that combines within tasks.  Fewer
 than HOT_SHARE texts can be hot whatever the input, which bounds that broadcast.
 
@@ -26,6 +27,8 @@ from .common import only
 HOT_SHARE = 500
 #: Ranges that a hot text is spread over for each 1/HOT_SHARE of the rows that it has.
 SPREAD = 2
+#: Characters of the text that splitters hold; texts with the same head are placed by digest.
+HEAD = 32
 
 
 def normalised(text: str = "text"):
@@ -49,10 +52,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         .withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int")))
         .drop("salts", "hot_sha256")
     )
-    # Splitters come from a sample of the keys; rows of equal (norm, salt) never part.
+    # Splitters come from a sample of (head, digest, salt), which bounds what the driver sees of
+    # long texts; equal texts with equal salt never part, and the window compares them in full.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = salted.repartitionByRange(parts, "norm", "salt")
-    equal = Window.partitionBy("norm", "salt")
+    placed = salted.withColumn("head", F.substring("norm", 1, HEAD)).repartitionByRange(parts, "head", "text_sha256", "salt")
+    equal = Window.partitionBy("head", "text_sha256", "salt", "norm")
     run = placed.select(
         "doc_id",
         "text_sha256",
