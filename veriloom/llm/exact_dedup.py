@@ -12,8 +12,7 @@ is found before, by an aggregation on the SHA-256 of whole texts that combines w
 than HOT_SHARE texts can be hot whatever the input, which bounds that broadcast.
 
 Defined results: null counts as the empty text; doc_id null sorts after others and is kept only if
-all of a group are null; rows that repeat in full count each, and one of them is kept for each
-distinct doc_id that stays; other columns are ignored; an empty table gives no rows.
+all of a group are null; rows that repeat in full count each, and one of them is kept; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,27 +36,41 @@ def normalised(text: str = "text"):
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
-    base = only(docs, "doc_id", "text").select("doc_id", normalised().alias("norm"))
+    return _sorted_runs(docs, only(docs, "doc_id", "text")).drop("row")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stay."""
+    return _sorted_runs(docs, docs).where("kept").select("row.*")
+
+
+def _sorted_runs(docs: DataFrame, carried: DataFrame) -> DataFrame:
+    """The result, and the carried columns of each row as ``row``."""
+    base = carried.select(F.struct(*[F.col(f"`{c}`") for c in carried.columns]).alias("row"))
+    norm = normalised("row.text")
     total = docs.count()
     # Pre-aggregated before its shuffle; at most HOT_SHARE rows pass the filter.
     hot = (
-        base.groupBy(F.sha2("norm", 256).alias("hot_sha256"))
-        .agg(F.count(F.lit(1)).alias("hot_size"), F.min("doc_id").alias("hot_keep"))
+        base.groupBy(F.sha2(norm, 256).alias("hot_sha256"))
+        .agg(F.count(F.lit(1)).alias("hot_size"), F.min("row.doc_id").alias("hot_keep"))
         .where(F.col("hot_size") > F.lit(total // HOT_SHARE + 1))
         .withColumn("salts", F.ceil(F.col("hot_size") * F.lit(SPREAD * HOT_SHARE / max(1, total))).cast("int"))
     )
     salted = (
-        base.withColumn("text_sha256", F.sha2("norm", 256))
+        base.withColumn("head", F.substring(norm, 1, HEAD))
+        .withColumn("text_sha256", F.sha2(norm, 256))
         .join(F.broadcast(hot), F.col("text_sha256") == F.col("hot_sha256"), "left")
-        .withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int")))
+        .withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("row.doc_id"), F.col("salts")).cast("int")))
         .drop("salts", "hot_sha256")
     )
     # Splitters come from a sample of (head, digest, salt), which bounds what the driver sees of
     # long texts; equal texts with equal salt never part, and the window compares them in full.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = salted.withColumn("head", F.substring("norm", 1, HEAD)).repartitionByRange(parts, "head", "text_sha256", "salt")
+    placed = salted.repartitionByRange(parts, "head", "text_sha256", "salt")
+    placed = placed.withColumn("norm", norm).withColumn("doc_id", F.col("row.doc_id"))
     equal = Window.partitionBy("head", "text_sha256", "salt", "norm")
     run = placed.select(
+        "row",
         "doc_id",
         "text_sha256",
         "hot_keep",
@@ -68,15 +81,10 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     )
     keep = F.when(F.col("hot_size").isNotNull(), F.col("hot_keep")).otherwise(F.col("run_keep"))
     return run.select(
+        "row",
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("hot_size", "run_size").alias("group_size"),
         ((F.col("run_rank") == 1) & F.col("doc_id").eqNullSafe(keep)).alias("kept"),
         "text_sha256",
     )
-
-
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) that exact_dedup keeps; doc_id must be unique."""
-    kept = exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
