@@ -86,6 +86,6 @@ def leaves(rows: DataFrame, key: str, frag: str, text: str, speaker: str) -> Dat
     """Fragments that hold no shorter fragment's text; of equal texts the attributed one."""
     w = Window.partitionBy(key, text).orderBy(F.col(speaker).isNull(), frag)
     one = rows.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
-    inner = one.select(F.col(key).alias("k"), F.col(frag).alias("f"), F.col(text).alias("t"))
-    parents = one.join(inner, (F.col(key) == F.col("k")) & (F.col(frag) != F.col("f")) & (F.length(text) > F.length("t")) & (F.col("t") != "") & F.contains(F.col(text), F.col("t")), "left_semi")
+    inner = one.select(F.col(key).alias("leaf_key"), F.col(frag).alias("leaf_frag"), F.col(text).alias("leaf_text"))
+    parents = one.join(inner, (F.col(key) == F.col("leaf_key")) & (F.col(frag) != F.col("leaf_frag")) & (F.length(text) > F.length("leaf_text")) & (F.col("leaf_text") != "") & F.contains(F.col(text), F.col("leaf_text")), "left_semi")
     return one.join(parents.select(key, frag), [key, frag], "left_anti")
