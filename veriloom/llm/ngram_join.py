@@ -6,7 +6,8 @@ class.  The join is exact (up to 64-bit hash collisions):
 1. *Blocks.*  In any fixed order of shingles, two sets with Jaccard similarity t or more share a
    shingle among the first |S| - ceil(t |S|) + 1 of each.  The order here puts shingles that many
    documents hold last, so shared passages rarely tie unlike documents together.  Sets that share
-   such a shingle meet in a block; all shingles of a family of near copies choose the same block (that
+   such a shingle, and have enough left from there on to be linked if it is their first common one, meet
+   in a block; all shingles of a family of near copies choose the same block (that
    of its smallest class), so a set goes to few blocks however many shingles it shares.
 2. *Signature tree.*  Within a block, sets are leaves of a tree whose nodes hold OR-combined token
    bitmaps and size ranges.  A traversal of the tree against itself drops node pairs whose largest
@@ -31,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_CHARS, map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
+from .common import map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
 from .components import connected
 from .shared_arrays import with_ids, write_ids
 
 WORDS = 5
 PERCENT = 75
 #: A shingle that so many documents hold comes late in the order.
-FREQUENT = 24
+FREQUENT = 4
 #: At most so many frequent shingles are told to the workers (8 bytes each); any order is correct.
 MOST_FREQUENT = 1 << 20
 #: The share of the hash space in which frequencies are counted: prefixes lie there, mostly.
@@ -46,8 +47,13 @@ COUNTED = 0.4
 #: Shingles in one bucket of the index; sets in one part of a block.
 BUCKET_SHINGLES = 1_500_000
 BLOCK_SETS = 4096
-#: Children of a tree node.
+#: Children of a tree node; node pairs that a traversal opens at a time.
 FAN_OUT = 8
+OPENED = 1 << 12
+#: Sets that share a shingle are tested pair by pair up to this number; more of them all meet.
+TESTED = 256
+#: Bytes of text that one Python call works on.
+SCANNED = 1_500_000
 
 
 def shingles(texts: list[str], n: int = WORDS) -> list[np.ndarray]:
@@ -135,7 +141,7 @@ def _frequent(docs: DataFrame, n: int, bits: int) -> np.ndarray:
     limit = np.uint64(int(COUNTED * 2**32) << (bits))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, chars=2 * BATCH_CHARS):
+        for b in slices(batches, chars=SCANNED):
             token = _token(np.concatenate(shingles(texts_of(b), n)), bits)
             token = np.sort(token[token < limit])
             if len(token):
@@ -174,7 +180,7 @@ def _meetings(docs: DataFrame, n: int, percent: int, bits: int, frequent: np.nda
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = late.value
-        for b in slices(batches, chars=2 * BATCH_CHARS):
+        for b in slices(batches, chars=SCANNED):
             sets = [s for s in shingles(texts_of(b), n) if len(s)]
             if not sets:
                 continue
@@ -192,41 +198,66 @@ def _meetings(docs: DataFrame, n: int, percent: int, bits: int, frequent: np.nda
             place = np.arange(len(every)) - np.repeat(start, sizes)
             rank = np.where(is_late, np.repeat(n_early, sizes) + place - early, early)
             take = rank < np.repeat(prefix_size(sizes, percent), sizes)
-            token, doc = token[take], doc[take]
+            token, doc, rest = token[take], doc[take], np.repeat(sizes, sizes)[take] - rank[take]
             order = np.argsort(token, kind="stable")
-            token, doc = token[order], doc[order]
+            token, doc, rest = token[order], doc[order], rest[order].astype(np.uint32)
             key = np.array([set_key(s) for s in sets], np.int64)
             bucket, first, last = _dealt(token)
             low = token.astype(np.uint32)
             blobs, names = [], []
             for s, e in zip(first.tolist(), last.tolist(), strict=True):
                 own, local = np.unique(doc[s:e], return_inverse=True)
-                blobs.append(low[s:e].tobytes() + local.astype(np.uint32).tobytes())
-                names.append(key[own].tobytes())
+                blobs.append(low[s:e].tobytes() + local.astype(np.uint32).tobytes() + rest[s:e].tobytes())
+                names.append(key[own].tobytes() + sizes[own].astype(np.int64).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(blobs, pa.binary()), pa.array(names, pa.binary())], names=["bucket", "entries", "sets"])
 
     def meet(t: pa.Table) -> pa.Table:
-        low, key = [], []
+        lows, keys, ns, rests = [], [], [], []
         for e, k in zip(t.column("entries"), t.column("sets"), strict=True):
-            both = np.frombuffer(e.as_buffer(), np.uint32)
-            low.append(both[: len(both) // 2])
-            key.append(np.frombuffer(k.as_buffer(), np.int64)[both[len(both) // 2 :]])
-        low, key = np.concatenate(low), np.concatenate(key)
-        order = np.lexsort((key, low))
-        low, key = low[order], key[order]
+            low, local, rest = np.frombuffer(e.as_buffer(), np.uint32).reshape(3, -1)
+            key, n = np.frombuffer(k.as_buffer(), np.int64).reshape(2, -1)
+            for out, x in ((lows, low), (keys, key[local]), (ns, n[local]), (rests, rest)):
+                out.append(x)
+        low, key, n, rest = np.concatenate(lows), np.concatenate(keys), np.concatenate(ns), np.concatenate(rests).astype(np.int64)
+        order = np.lexsort((-rest, key, low))
+        low, key, n, rest = low[order], key[order], n[order], rest[order]
         new = np.append(True, low[1:] != low[:-1])
         distinct = new | np.append(True, key[1:] != key[:-1])
-        low, key, new = low[distinct], key[distinct], new[distinct]
+        low, key, n, rest, new = low[distinct], key[distinct], n[distinct], rest[distinct], new[distinct]
         first = np.flatnonzero(new)
         sizes = np.diff(np.append(first, len(low)))
-        shared = np.repeat(sizes > 1, sizes)
-        block = np.repeat(key[first], sizes)
-        pairs = np.unique(np.stack([key[shared], block[shared]], 1), axis=0)
+        meets = _can_meet(first, sizes, n, rest, percent)
+        # Among those that meet at a shingle the smallest names the block.
+        low, key = low[meets], key[meets]
+        first = np.flatnonzero(np.append(True, low[1:] != low[:-1])) if len(low) else np.zeros(0, np.int64)
+        block = np.repeat(key[first], np.diff(np.append(first, len(low))))
+        pairs = np.unique(np.stack([key, block], 1), axis=0)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["set_key", "block"])
 
     return per_group(map_arrow(docs, tell, "bucket long, entries binary, sets binary"), "bucket", meet, "set_key long, block long").distinct()
 
 
+def _can_meet(first: np.ndarray, sizes: np.ndarray, n: np.ndarray, rest: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets that share a shingle (runs of ``sizes`` from ``first``) can be linked to another
+    of the run whose first common shingle this is: what is left of both from here on (``rest``) must
+    reach the overlap that their sizes need."""
+    out = np.zeros(len(n), bool)
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        runs = first[sizes == size]
+        if size > TESTED:
+            for a in runs.tolist():
+                out[a : a + size] = True
+            continue
+        step = max(1, (1 << 20) // (size * size))
+        for k in range(0, len(runs), step):
+            at = runs[k : k + step, None] + np.arange(size)
+            a, r = n[at], rest[at]
+            ok = np.minimum(r[:, :, None], r[:, None, :]) >= needed(a[:, :, None], a[:, None, :], percent)
+            ok[:, np.arange(size), np.arange(size)] = False
+            out[at] = ok.any(2)
+    return out
+
+
 # -- the tree ---------------------------------------------------------------------------------
 
 
@@ -278,9 +309,9 @@ class SignatureTree:
         ok &= (high[a] * 100 >= percent * low[b]) & (high[b] * 100 >= percent * low[a])
         at = np.flatnonzero(ok)
         shared = np.zeros(len(at), np.int64)
-        for k in range(0, len(at), 1 << 16):
-            p = at[k : k + (1 << 16)]
-            shared[k : k + (1 << 16)] = np.bitwise_count(bits[a[p]] & bits[b[p]]).sum(1)
+        for k in range(0, len(at), 4 * OPENED):
+            p = at[k : k + 4 * OPENED]
+            shared[k : k + 4 * OPENED] = np.bitwise_count(bits[a[p]] & bits[b[p]]).sum(1)
         most = np.minimum(shared + np.minimum(more[a[at]], more[b[at]]), np.minimum(high[a[at]], high[b[at]]))
         ok[at] = most >= needed(low[a[at]], low[b[at]], percent)
         return ok
@@ -305,8 +336,7 @@ class SignatureTree:
                 x, y = x[ok], y[ok]
                 near = np.argsort(y - x, kind="stable")
                 x, y = x[near], y[near]
-                step = 1 << 15
-                stack += [(level - 1, x[s : s + step], y[s : s + step]) for s in range(0, len(x), step)][::-1]
+                stack += [(level - 1, x[s : s + OPENED], y[s : s + OPENED]) for s in range(0, len(x), OPENED)][::-1]
                 continue
             keep = self._possible(0, a, b, percent)
             joined = False
@@ -340,8 +370,11 @@ def _links(docs: DataFrame, classes: DataFrame, meetings: DataFrame, n: int, per
     dealt = meetings.join(sizes, "block").select("set_key", "block", part.alias("own"), other.alias("other"))
     dealt = dealt.select("set_key", F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")).alias("block"))
     one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    rows = dealt.join(one, "set_key").join(docs, "doc_id").select("set_key", "block", "text")
-    groups = max(1, meetings.count() // (BLOCK_SETS // 4))
+    dealt = written(dealt.join(one, "set_key"), "blocks")
+    # Only members' texts are shuffled.
+    members = with_ids(docs, *write_ids(dealt.select("doc_id").distinct(), dealt.count()))
+    rows = dealt.join(members, "doc_id").select("set_key", "block", "text")
+    groups = max(1, meetings.count() // max(1, BLOCK_SETS // 4))
     rows = rows.withColumn("task", F.pmod(F.col("block"), F.lit(groups)))
 
     def join(t: pa.Table) -> pa.Table:
