@@ -45,9 +45,11 @@ SPAN = 400
 Q = 200
 #: Runs of a bucket that are refined in one task, at most; runs in one task, about; and positions
 #: that are refined at a time, about.
-HOT = 4000
-TASK_RUNS = 20_000
-POSITIONS = 2_000_000
+HOT = 2000
+TASK_RUNS = 10_000
+POSITIONS = 600_000
+#: Bytes of text that one Python call works on.
+SCANNED = 600_000
 #: Bytes of text behind one shard of the arrays in the shared folder.
 SHARD_BYTES = 256_000_000
 
@@ -115,7 +117,7 @@ def refine(counts: list[int], texts: list[bytes], span: int, q: int) -> list[np.
     joined = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     begin = np.cumsum(sizes) - sizes
-    bucket = pd.factorize(gram_hashes(joined, q))[0]
+    bucket = pd.factorize(gram_hashes(joined, q))[0].astype(np.int32)
     reach = q
     while reach < span:
         step = min(reach, span - reach)
@@ -125,7 +127,7 @@ def refine(counts: list[int], texts: list[bytes], span: int, q: int) -> list[np.
         fresh = -1 - np.arange(len(a))
         shared = np.bincount(a)[a] > 1
         fresh[shared] = a[shared] * (int(b.max()) + 1) + b[shared]
-        bucket = pd.factorize(fresh)[0]
+        bucket = pd.factorize(fresh)[0].astype(np.int32)
         reach += step
     asked = np.repeat(begin, counts) + np.arange(sum(counts)) - np.repeat(np.cumsum(counts) - counts, counts)
     hit = np.bincount(bucket[asked])[bucket[asked]] > 1
@@ -182,7 +184,7 @@ def find_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, hot: int = HOT)
     shift = np.uint64(64 - bits)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, chars=SCANNED):
             key = np.sort(runs_of([t.encode() for t in texts_of(b)], span, q)[0])
             if len(key):
                 shard = (key >> shift).astype(np.int64)
@@ -202,7 +204,7 @@ def find_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, hot: int = HOT)
     tasks = max(1, int(got["total"] or 0) // TASK_RUNS)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, chars=SCANNED):
             texts = [t.encode() for t in texts_of(b)]
             key, text, first, n, twice = runs_of(texts, span, q)
             doc = b.column("doc_id").to_numpy(zero_copy_only=False)
@@ -313,7 +315,7 @@ def dedup_digests(docs: DataFrame, span: int = SPAN, q: int = Q, hot: int = HOT)
     url, bits = find_repeats(docs, span, q, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, chars=SCANNED):
             rows: dict[str, list] = {n: [] for n in RESULT.names}
             for text, doc, spans in zip(texts_of(b), b.column("doc_id").to_pylist(), _cuts(url, bits, b.column("doc_id").to_numpy()), strict=True):
                 raw = text.encode()
@@ -330,7 +332,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, hot: int = HO
     url, bits = find_repeats(docs, span, q, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, chars=SCANNED):
             left = [cut(t.encode(), s)[0] for t, s in zip(texts_of(b), _cuts(url, bits, b.column("doc_id").to_numpy()), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(left, pa.binary())], names=["doc_id", "kept"])
 
