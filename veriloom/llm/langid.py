@@ -29,8 +29,10 @@ DIM = 16
 ORDERS = (1, 2, 3, 4)
 #: Bound of the labelled documents that the model is fitted on.
 SAMPLE = 2400
-EPOCHS = 12
-RATE = 2.0
+EPOCHS = 8
+RATE = 0.5
+#: Longest step that one document may move its mean embedding.
+LONGEST_STEP = 0.5
 SEED = 17
 #: Share of calibration documents, rightly labelled, that rejection may cost at most.
 MAX_REJECTED = 0.002
@@ -136,10 +138,14 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
             hidden = share @ emb[ids]
             p = softmax(hidden @ soft + bias)
             p[labels[d]] -= 1
-            back = soft @ p
+            move = rate * (soft @ p)
+            move *= min(1.0, LONGEST_STEP / max(1e-12, float(np.sqrt(move @ move))))
             soft -= rate * np.outer(hidden, p)
             bias -= 0.1 * rate * p
-            emb[ids] -= (rate * len(ids) ** 0.5) * np.outer(share, back)
+            # Scaled so that the mean moves by exactly ``move``, however many subwords the text has.
+            emb[ids] -= np.outer(share / (share @ share), move)
+    if not (np.isfinite(emb).all() and np.isfinite(soft).all()):
+        raise ArithmeticError("the language model did not converge")
     check = held if len(held) else used
     logits = np.array([bags[d][1] @ emb[bags[d][0]] @ soft + bias for d in check])
     right = labels[check]
