@@ -77,6 +77,22 @@ def test_language_id(spark, docs, empty):
     assert {r["lang_pred"] for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_training_is_stable():
+    """Bags of one subword and of half the buckets together stay finite and learn."""
+    rng = np.random.default_rng(1)
+    bags, labels = [], []
+    for k in range(300):
+        lang = k % 3
+        n = [1, 40, langid.BUCKETS // 2][k % 7 % 3]
+        ids = np.unique(rng.integers(0, langid.BUCKETS // 3, n) * 3 + lang)
+        bags.append((ids, np.full(len(ids), 1 / len(ids))))
+        labels.append(lang)
+    m = langid.train(bags, np.array(labels), ("a", "b", "c"))
+    assert np.isfinite(m.table).all() and 0 < m.bar <= langid.HIGHEST_BAR
+    long = [d for d in range(300) if len(bags[d][0]) > 1000]
+    assert all((bags[d][1] @ m.table[bags[d][0]] + m.bias).argmax() == labels[d] for d in long)
+
+
 def test_held_out_accuracy(spark):
     d = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = langid.identify(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").collect()
