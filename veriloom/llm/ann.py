@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, only, per_group
+from .common import map_arrow, only, per_group, written
 
 #: Vectors in a block; a tile holds BLOCK * QUERY_BLOCK distances.
 BLOCK = 2048
 QUERY_BLOCK = 512
+#: Candidates that meet in one task of the last merge, about.
+MERGED = 400_000
 
 _PACKED = "ids binary, codes binary, vectors binary"
 
@@ -118,25 +120,43 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10, vec_id: str
     if not dims:
         return queries.sparkSession.createDataFrame([], schema)
     dim = dims[0]["d"]
-    left = _blocks(asks, QUERY_BLOCK, dim).select(F.col("ids").alias("q_ids"), F.col("codes").alias("q_codes"), F.col("vectors").alias("q_vectors"))
-    right = _blocks(cands, BLOCK, dim)
+    # Written once, so that pairing blocks reads them and quantises nothing again.
+    left = written(_blocks(asks, QUERY_BLOCK, dim).select(F.col("ids").alias("q_ids"), F.col("codes").alias("q_codes"), F.col("vectors").alias("q_vectors")), "queries")
+    right = written(_blocks(cands, BLOCK, dim), "candidates")
+
+    def best_of(i: np.ndarray, v: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((v, s, i))
+        i, v, s = i[order], v[order], s[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return i[keep], v[keep], s[keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tiles of one block of queries follow each other, and keep k candidates a query together.
+        now, held = None, None
+
+        def told() -> pa.RecordBatch:
+            qid = np.frombuffer(now, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(qid[held[0]]), pa.array(held[1]), pa.array(held[2])], names=["query_id", "vec_id", "score"])
+
         for b in batches:
             for row in range(b.num_rows):
                 take = lambda n, kind, w, row=row, b=b: np.frombuffer(b.column(n)[row].as_buffer(), kind).reshape(-1, w)
+                block = b.column("q_ids")[row].as_py()
+                if now is not None and block != now:
+                    yield told()
+                    held = None
+                now = block
                 qid, cid = take("q_ids", np.int64, 1)[:, 0], take("ids", np.int64, 1)[:, 0]
                 i, j, score = tile(qid, take("q_vectors", np.float64, dim), take("q_codes", np.int8, dim), cid, take("vectors", np.float64, dim), take("codes", np.int8, dim), k)
-                order = np.lexsort((cid[j], score, i))
-                i, j, score = i[order], j[order], score[order]
-                first = np.searchsorted(i, i)
-                best = np.arange(len(i)) - first < k
-                yield pa.RecordBatch.from_arrays([pa.array(qid[i[best]]), pa.array(cid[j[best]]), pa.array(score[best])], names=["query_id", "vec_id", "score"])
+                more = (i, cid[j], score)
+                held = best_of(*more) if held is None else best_of(*(np.concatenate(x) for x in zip(held, more, strict=True)))
+        if now is not None:
+            yield told()
 
     # Blocks against blocks: the number of tiles, not of pairs.
-    tiles = left.crossJoin(right)
-    found = map_arrow(tiles, run, "query_id long, vec_id long, score double")
-    few = found.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(64)))
+    found = map_arrow(left.crossJoin(right), run, "query_id long, vec_id long, score double")
+    parts = max(1, left.count() * max(1, right.rdd.getNumPartitions()) * QUERY_BLOCK * k // MERGED)
+    few = found.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)))
 
     def merge(t: pa.Table) -> pa.Table:
         heaps: dict[int, list] = {}
