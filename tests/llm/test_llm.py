@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, empty and long texts, ties, repeats,
 other columns with clashing names, and empty tables."""
 
+import dataclasses
 import hashlib
 import itertools
 import math
@@ -99,6 +100,24 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
 
 
+def test_clean_documents_are_kept(spark):
+    """No labelled document with letters goes, not even one of two languages; unknown letters go."""
+    d = spark.read.parquet(f"{DATA}/documents.parquet")
+    m = langid.fit(d)
+    lettered = [r["doc_id"] for r in d.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert sorted(by_id(langid.accepted(d, m))) == sorted(lettered)
+    rnd = random.Random(5)
+    by_lang = defaultdict(list)
+    for r in d.where("length(text) > 200").orderBy("doc_id").collect():
+        by_lang[r["lang"]].append(r["text"][:2000])
+    pairs = [(x, y) for a, b in itertools.combinations(sorted(by_lang), 2) for x, y in zip(by_lang[a], by_lang[b], strict=False)]
+    mixed = [(i, " ".join(w for p in itertools.zip_longest(x.split(), y.split(), fillvalue="") for w in p)) for i, (x, y) in enumerate(pairs)]
+    assert len(by_id(langid.accepted(spark.createDataFrame(mixed, "doc_id long, text string"), m))) == len(mixed)
+    doubtful = dataclasses.replace(m, bar=1.1)
+    texts = ["".join(rnd.choice("абвгдежзийклмн    ") for _ in range(300)), "a", "привет the", "12", mixed[0][1]]
+    assert doubtful.rejects(texts, *m.probabilities(texts)).tolist() == [True, False, True, True, False]
+
+
 # -- 2 and 6
 @pytest.fixture(scope="module")
 def reference_ids():

@@ -4,8 +4,10 @@ A text's subwords (letter n-grams of one to four, with word edges) are hashed in
 of their embeddings goes through a linear softmax.  Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on the driver, on a bounded sample: at most SAMPLE documents,
 spread evenly over languages, of which a fifth is held back to calibrate a temperature and the
-score under which a prediction is rejected.  Since the model is linear after averaging, workers get
-one table of buckets by languages.
+score under which a prediction is in doubt.  Short texts and texts of several languages are in doubt
+at any size of the input, so doubt alone rejects nothing: a text in doubt goes if most of its letters
+are in none of the sample's documents.  Since the model is linear after averaging, workers get one
+table of buckets by languages.
 
 Defined results: null text, or text without letters, is ``und`` with score 0 and rejected; equal
 probabilities go to the language first in sorted order; rows that repeat repeat their results;
@@ -34,7 +36,7 @@ RATE = 0.5
 #: Longest step that one document may move its mean embedding.
 LONGEST_STEP = 0.5
 SEED = 17
-#: Share of calibration documents, rightly labelled, that rejection may cost at most.
+#: Share of calibration documents, rightly labelled, that may be in doubt at most.
 MAX_REJECTED = 0.002
 #: Highest score that may be asked for, whatever calibration says.
 HIGHEST_BAR = 0.6
@@ -100,7 +102,8 @@ class Model:
     languages: tuple[str, ...]
     table: np.ndarray  # buckets by languages, already divided by the temperature
     bias: np.ndarray
-    bar: float  # a lower score is rejected
+    bar: float  # a lower score is in doubt
+    alphabet: frozenset[str] = frozenset()  # letters of the sample, in lower case
 
     def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities by text and language; which texts have letters at all."""
@@ -114,13 +117,21 @@ class Model:
                 logits[known, k] = total / n[known] + self.bias[k]
         return softmax(logits), known
 
+    def rejects(self, texts: list[str], p: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Texts without letters, and those in doubt whose letters are mostly foreign to the sample."""
+        out = ~known
+        for i in np.flatnonzero(known & (p.max(1) < self.bar)):
+            own = [c for c in texts[i].lower() if c.isalpha()]
+            out[i] = 2 * sum(c not in self.alphabet for c in own) > len(own)
+        return out
+
 
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(-1, keepdims=True))
     return e / e.sum(-1, keepdims=True)
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: tuple[str, ...]) -> Model:
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: tuple[str, ...], alphabet: frozenset[str] = frozenset()) -> Model:
     """``bags``: buckets and shares of each document; a fifth of them is for calibration."""
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(bags))
@@ -155,7 +166,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
     p = softmax(logits / heat)
     good = np.sort(p.max(1)[p.argmax(1) == right])
     bar = min(HIGHEST_BAR, float(good[int(MAX_REJECTED * len(good))])) if len(good) else 0.0
-    return Model(languages, (emb @ soft / heat).astype(np.float32), bias / heat, bar * 0.999)
+    return Model(languages, (emb @ soft / heat).astype(np.float32), bias / heat, bar * 0.999, alphabet)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -172,14 +183,16 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, chars=500_000):
-            ids, starts = subwords(texts_of(b))
+            texts = texts_of(b)
+            ids, starts = subwords(texts)
+            own = ["".join(sorted(c for c in set(t.lower()) if c.isalpha())) for t in texts]
             bags = [np.unique(ids[s:e], return_counts=True) for s, e in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("lang"), pa.array([x[0] for x in bags], pa.list_(pa.int32())), pa.array([x[1].astype(np.int32) for x in bags], pa.list_(pa.int32()))],
-                names=["doc_id", "lang", "ids", "counts"],
+                [b.column("doc_id"), b.column("lang"), pa.array([x[0] for x in bags], pa.list_(pa.int32())), pa.array([x[1].astype(np.int32) for x in bags], pa.list_(pa.int32())), pa.array(own, pa.string())],
+                names=["doc_id", "lang", "ids", "counts", "letters"],
             )
 
-    got = map_arrow(picked, run, "doc_id long, lang string, ids array<int>, counts array<int>").where("size(ids) > 0")
+    got = map_arrow(picked, run, "doc_id long, lang string, ids array<int>, counts array<int>, letters string").where("size(ids) > 0")
     table = got.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample).toArrow()
     if not table.num_rows:
         return None
@@ -189,7 +202,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     for ids, counts in zip(table.column("ids").to_pylist(), table.column("counts").to_pylist(), strict=True):
         c = np.array(counts, np.float64)
         bags.append((np.array(ids, np.int64), c / c.sum()))
-    return train(bags, np.array([index[x] for x in table.column("lang").to_pylist()]), languages)
+    alphabet = frozenset().union(*table.column("letters").to_pylist())
+    return train(bags, np.array([index[x] for x in table.column("lang").to_pylist()]), languages, alphabet)
 
 
 PREDICTION = "doc_id long, lang_pred string, score double, rejected boolean"
@@ -210,15 +224,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 p, known = m.probabilities(texts)
                 best = np.where(known, p.max(1), 0.0)
                 names = [m.languages[k] if ok else UNKNOWN for k, ok in zip(p.argmax(1).tolist(), known.tolist(), strict=True)]
-                no = ~known | (best < m.bar)
+                no = m.rejects(texts, p, known)
             yield record(_PREDICTION, doc_id=b.column("doc_id"), lang_pred=names, score=best, rejected=no)
 
     return map_arrow(only(docs, "doc_id", "text"), run, PREDICTION)
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose language is told with a score that calibration
-    accepts."""
+    """The rows of ``docs``, with all columns, that the model does not reject."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
@@ -226,8 +239,8 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
         m = sent.value
         for b in slices(batches, chars=500_000):
             if m is not None:
-                p, known = m.probabilities([t or "" for t in b.column(place).to_pylist()])
-                yield b.filter(pa.array(known & (p.max(1) >= m.bar)))
+                texts = [t or "" for t in b.column(place).to_pylist()]
+                yield b.filter(pa.array(~m.rejects(texts, *m.probabilities(texts))))
 
     return map_arrow(docs, run, docs.schema)
 
