@@ -351,6 +351,15 @@ def word_count_cap(spark, d):
     return t(spark, d, "documents").where("lang = 'en'").where(~F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x7F]"))).select("doc_id", text.words_shown(F.col("text")).alias("n_words"))
 
 
+@query(
+    """WITH p AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\[\\.\\.\\.\\]', ' ', 'g') AS t FROM documents), c AS (SELECT *, '[\\x{3040}-\\x{30ff}\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}\\x{f900}-\\x{faff}\\x{ac00}-\\x{d7af}]' AS cjk FROM p)
+    SELECT doc_id, (len(regexp_extract_all(t, cjk)) + len(regexp_extract_all(regexp_replace(t, cjk, ' ', 'g'), '[\\p{L}\\p{M}\\p{Nd}\\p{Nl}]+')))::INTEGER AS n_words FROM c"""
+)
+def word_count_all(spark, d):
+    """F26 on all documents, whatever their language and letters."""
+    return t(spark, d, "documents").select("doc_id", text.words_shown(F.col("text")).alias("n_words"))
+
+
 @query("SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(text, '-{2,}', '—', 'g'), '[\\s\\x{A0}]+', ' ', 'g'))) AS h FROM documents WHERE text IS NOT NULL")
 def presentable_text(spark, d):
     """X01, X02."""
