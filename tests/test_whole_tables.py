@@ -13,3 +13,9 @@ def test_words_of_other_scripts(spark, tmp_path):
     rows = [(1, "Größe été naïve", "de"), (2, "人工智能 AI", None), (3, None, "en"), (4, "a_b [...] 12", "fr")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r["doc_id"]: r["n_words"] for r in QUERIES["word_count_all"](spark, str(tmp_path)).collect()} == {1: 3, 2: 5, 3: 0, 4: 3}
+
+
+def test_scan_of_all_languages(spark, tmp_path):
+    rows = [(1, "keitsch", "de", "s"), (2, "ouion", "fr", "s"), (3, "mentedo", "es", "s"), (5, "keitsch", None, "s"), (6, "a clown", "en", "s"), (7, "keitsch", "en", "s"), (8, "ouion", "fr", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r["doc_id"] for r in QUERIES["candidate_scan_all"](spark, str(tmp_path)).collect()) == [1, 2, 3, 5, 6]

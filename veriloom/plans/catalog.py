@@ -508,6 +508,18 @@ def candidate_scan(spark, d):
     return keywords.candidates(u, TERMS, seen).select(F.col("id").alias("doc_id"))
 
 
+@query(
+    _HITS
+    + """, u AS (SELECT doc_id, text, split_part(coalesce(lang, ''), '-', 1) AS base FROM documents WHERE doc_id % 4 <> 0)
+    SELECT DISTINCT doc_id FROM u JOIN terms ON lang = base OR base NOT IN (SELECT lang FROM terms) WHERE regexp_matches(coalesce(text, ''), pat)"""
+)
+def candidate_scan_all(spark, d):
+    """F05 over documents of every language."""
+    u = t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("language"), "source")
+    seen = u.where("id % 4 = 0").select(F.col("id").alias("utterance_id"), F.lit(keywords.version(TERMS)).alias("keyword_version"))
+    return keywords.candidates(u, TERMS, seen).select(F.col("id").alias("doc_id"))
+
+
 @query("SELECT event_type, (count(*) FILTER (value > 20)) AS k, count(*) AS n, round(count(*) FILTER (value > 20) / count(*), 4) AS rate, count(*) FILTER (value IS NULL) AS unsure FROM events GROUP BY 1")
 def agreement_breakdown(spark, d):
     """A11, A20."""
