@@ -19,3 +19,8 @@ def test_scan_of_all_languages(spark, tmp_path):
     rows = [(1, "keitsch", "de", "s"), (2, "ouion", "fr", "s"), (3, "mentedo", "es", "s"), (5, "keitsch", None, "s"), (6, "a clown", "en", "s"), (7, "keitsch", "en", "s"), (8, "ouion", "fr", "s")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(r["doc_id"] for r in QUERIES["candidate_scan_all"](spark, str(tmp_path)).collect()) == [1, 2, 3, 5, 6]
+
+
+def test_weights_of_all_labels(spark):
+    brands = {r["p_brand"] for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
+    assert {r["label"] for r in QUERIES["negative_weights_all"](spark, DATA).select("label").distinct().collect()} == brands

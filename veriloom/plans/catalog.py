@@ -209,6 +209,13 @@ def negative_weights(spark, d):
     return statistics.negative_weights(_baskets(spark, d), "l_orderkey", "p_brand", [f"Brand#{i}" for i in range(1, 6)]).withColumn("weight", F.round("weight", 9))
 
 
+@query(ORACLES["negative_weights"].replace("(VALUES ('Brand#1'), ('Brand#2'), ('Brand#3'), ('Brand#4'), ('Brand#5'))", "(SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL)"))
+def negative_weights_all(spark, d):
+    """A25 over every label that part has."""
+    labels = sorted(r["p_brand"] for r in t(spark, d, "part").select("p_brand").where("p_brand is not null").distinct().collect())  # a row for each label
+    return statistics.negative_weights(_baskets(spark, d), "l_orderkey", "p_brand", labels).withColumn("weight", F.round("weight", 9))
+
+
 @query(
     """SELECT l_returnflag, count(*) AS n, round(sum(50 / l_quantity) * sum(50 / l_quantity) / sum((50 / l_quantity) * (50 / l_quantity)), 1) AS ess,
     round(sum(CASE WHEN l_linestatus = 'F' THEN 50 / l_quantity ELSE 0 END) / sum(50 / l_quantity), 4) AS rate FROM lineitem WHERE l_quantity > 0 GROUP BY 1"""
