@@ -24,3 +24,9 @@ def test_scan_of_all_languages(spark, tmp_path):
 def test_weights_of_all_labels(spark):
     brands = {r["p_brand"] for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
     assert {r["label"] for r in QUERIES["negative_weights_all"](spark, DATA).select("label").distinct().collect()} == brands
+
+
+def test_pending_reads_the_whole_log(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(5, 1, "F", "1-URGENT"), (4, 2, "F", "1-URGENT")], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    assert [r["id"] for r in QUERIES["pending_candidates_all"](spark, str(tmp_path)).collect()] == [2]

@@ -497,6 +497,14 @@ def pending_candidates(spark, d):
     return verdicts.pending(t(spark, d, "customer").select(F.col("c_custkey").alias("id")), log, "p")
 
 
+@query(ORACLES["pending_candidates"].replace(" WHERE o_orderkey % 3 = 0", ""))
+def pending_candidates_all(spark, d):
+    """V03, W11 with the whole of orders as the log."""
+    o = t(spark, d, "orders")
+    log = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("candidate_id"), F.when(F.col("o_orderstatus") == "F", "confirm").otherwise("primary").alias("role"), F.col("o_orderpriority").startswith("1").alias("accept"), F.when(F.col("o_orderkey") % 4 != 0, "{}").alias("verdict"), F.lit("p").alias("prompt_sha256"))
+    return verdicts.pending(t(spark, d, "customer").select(F.col("c_custkey").alias("id")), log, "p")
+
+
 @query(
     """WITH c AS (SELECT o_orderkey AS id, o_custkey AS u, o_orderkey % 5 = 0 AS q, o_orderkey % 3 = 0 AS j FROM orders) SELECT u AS utterance_id, id FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY q DESC, j DESC, id DESC) r FROM c) WHERE r = 1"""
 )
