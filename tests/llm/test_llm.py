@@ -275,27 +275,68 @@ def test_repeated_rows(spark):
 
 
 # -- 5
-@pytest.mark.parametrize("hot", [2000, 2])
-def test_suffix_dedup(monkeypatch, spark, empty, hot):
-    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1000)
-    monkeypatch.setattr(suffix_dedup, "TASK_RUNS", 40)
-    span, parts = 20, ["ab", "ba", "é", "aaa", "b", "abab"]
-    texts = ["", "a" * 50, "ab" * 30, None, "é" * 40, "x" + "q" * 19, *["".join(RND.choice(parts) for _ in range(RND.randint(0, 50))) for _ in range(100)]]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = by_id(suffix_dedup.dedup_digests(df, span, 10, hot))
+def without_repeated(texts, span):
+    """n_bytes, n_removed, n_spans and kept_sha256 of each text, by counting every string of ``span`` bytes."""
     raw = [(t or "").encode() for t in texts]
     seen = Counter(t[p : p + span] for t in raw for p in range(len(t) - span + 1))
-    for i, t in enumerate(raw):
+    out = []
+    for t in raw:
         gone = bytearray(len(t))
         for p in range(len(t) - span + 1):
             if seen[t[p : p + span]] > 1:
                 gone[p : p + span] = b"\1" * span
         runs = sum(1 for k in range(len(t)) if gone[k] and not (k and gone[k - 1]))
-        kept = hashlib.sha256(bytes(c for c, g in zip(t, gone, strict=True) if not g)).hexdigest()
-        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == (len(t), sum(gone), runs, kept)
+        out.append((len(t), sum(gone), runs, hashlib.sha256(bytes(c for c, g in zip(t, gone, strict=True) if not g)).hexdigest()))
+    return out
+
+
+def suffix_rows(df, *args):
+    return [((r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]))) for r in suffix_dedup.dedup_digests(df, *args).collect()]
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_suffix_dedup(monkeypatch, spark, empty, hot):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(suffix_dedup, "TASK_RUNS", 40)
+    span, parts = 20, ["ab", "ba", "é", "aaa", "b", "abab"]
+    texts = ["", "a" * 50, "ab" * 30, None, "é" * 40, "x" + "q" * 19, *["".join(RND.choice(parts) for _ in range(RND.randint(0, 50))) for _ in range(100)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(suffix_rows(df, span, 10, hot)) == list(enumerate(without_repeated(texts, span)))
     assert suffix_dedup.dedup_digests(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot,held", [(2000, 500_000), (3, 20)])
+def test_suffix_hot_groups(monkeypatch, spark, hot, held):
+    """Very many equal texts, near copies, and one passage (longer than a gram, some longer than a
+    span) in many surroundings; ids that repeat or are null; a column with a clashing name."""
+    monkeypatch.setattr(suffix_dedup, "HELD", held)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3000)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    noise = lambda n: "".join(RND.choice(letters) for _ in range(n))
+    equal, near, passage, short = noise(300), noise(200), noise(55), noise(35)
+    texts = [equal] * 30
+    texts += [near[:k] + "#" + near[k + 1 :] for k in RND.choices(range(200), k=30)]
+    texts += [noise(RND.randint(0, 60)) + RND.choice([passage, short]) + noise(RND.randint(0, 60)) for _ in range(40)]
+    ids = [*range(len(texts) - 20), *[7] * 10, *[None] * 10]
+    rows = [(i, t, "x", 1) for i, t in zip(ids, texts, strict=True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, bucket string, shard long").repartition(3)
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    want = sorted(zip(ids, without_repeated(texts, 40), strict=True), key=order)
+    assert sorted(suffix_rows(df, 40, 20, hot), key=order) == want
+
+
+def test_suffix_spans_stay_few(monkeypatch, spark):
+    """What comes back of repeats is a span for each stretch, not a row for each start."""
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    text = "".join(RND.choice(letters) for _ in range(2000))
+    df = spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(suffix_dedup, "per_group", lambda f, key, fn, schema, real=suffix_dedup.per_group: seen.append((key, f)) or real(f, key, fn, schema))
+    suffix_dedup.find_repeats(df, 40, 20, 5)
+    emitted = [f for key, f in seen if key == "task"]
+    assert sum(f.count() for f in emitted) == 50
+
+
 # -- 7
 PRIVATE = [
     "write to a.b+c@mail.example.com, or x@y, or @z.com",
