@@ -6,10 +6,10 @@ in full with its neighbour and keeps the smallest identifier of a run of equals.
 (it spills), and the window needs no second exchange, since the range partitioning keeps equals
 together.
 
-A text whose copies would fill partitions (more than a share of all rows) is salted: copies are
-spread over several ranges by a salt, and what joins their ranges (size and smallest identifier)
-is found before, by an aggregation on the SHA-256 of whole texts that combines within tasks.  Fewer
-than HOT_SHARE texts can be hot whatever the input, which bounds that broadcast.
+A text whose copies would fill partitions (more than a share of all rows) is salted: its copies are
+spread over several ranges by a salt, found by a count of digests that combines within tasks.  Each
+range sorts and compares its copies like all others; then the few runs of a salted text are joined into
+one group.  Fewer than HOT_SHARE texts can be hot whatever the input, which bounds both broadcasts.
 
 Defined results: null counts as the empty text; doc_id null sorts after others and is kept only if
 all of a group are null; rows that repeat in full count each, and one of them is kept; other columns are ignored; an empty table gives no rows.
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only
+from .common import only, written
 
 #: A text is hot if it has more than 1/HOT_SHARE of all rows; so there are fewer than this.
 HOT_SHARE = 500
@@ -36,25 +36,41 @@ def normalised(text: str = "text"):
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
-    return _sorted_runs(docs, only(docs, "doc_id", "text")).drop("row")
+    found = written(_sorted_runs(docs, only(docs, "doc_id", "text")).drop("row"), "runs")
+    rows = _joined(found)
+    return rows.select("doc_id", "keep_id", "group_size", ((F.col("run_rank") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all columns, that stay."""
-    return _sorted_runs(docs, docs).where("kept").select("row.*")
+    first = written(_sorted_runs(docs, docs).where("run_rank = 1"), "runs")
+    return _joined(first).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("row.*")
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """keep_id and group_size of rows: those of their run, or of all runs of a salted text."""
+    runs = rows.where("salted and run_rank = 1").groupBy(F.col("text_sha256").alias("salted_sha256"))
+    whole = runs.agg(F.min("run_keep").alias("all_keep"), F.sum("run_size").alias("all_size"))  # fewer than HOT_SHARE rows
+    out = rows.join(F.broadcast(whole), F.col("salted") & (F.col("text_sha256") == F.col("salted_sha256")), "left")
+    return out.select(
+        *rows.columns,
+        F.when(F.col("salted"), F.col("all_keep")).otherwise(F.col("run_keep")).alias("keep_id"),
+        F.when(F.col("salted"), F.col("all_size")).otherwise(F.col("run_size")).alias("group_size"),
+    )
 
 
 def _sorted_runs(docs: DataFrame, carried: DataFrame) -> DataFrame:
-    """The result, and the carried columns of each row as ``row``."""
+    """The carried columns of each row as ``row``, and of the run of equal texts in which it lies the
+    smallest doc_id (run_keep), size and the row's place; ``salted`` texts have several runs."""
     base = carried.select(F.struct(*[F.col(f"`{c}`") for c in carried.columns]).alias("row"))
     norm = normalised("row.text")
     total = docs.count()
     # Pre-aggregated before its shuffle; at most HOT_SHARE rows pass the filter.
     hot = (
         base.groupBy(F.sha2(norm, 256).alias("hot_sha256"))
-        .agg(F.count(F.lit(1)).alias("hot_size"), F.min("row.doc_id").alias("hot_keep"))
-        .where(F.col("hot_size") > F.lit(total // HOT_SHARE + 1))
-        .withColumn("salts", F.ceil(F.col("hot_size") * F.lit(SPREAD * HOT_SHARE / max(1, total))).cast("int"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where(F.col("copies") > F.lit(total // HOT_SHARE + 1))
+        .select("hot_sha256", F.ceil(F.col("copies") * F.lit(SPREAD * HOT_SHARE / max(1, total))).cast("int").alias("salts"))
     )
     salted = (
         base.withColumn("head", F.substring(norm, 1, HEAD))
@@ -69,22 +85,12 @@ def _sorted_runs(docs: DataFrame, carried: DataFrame) -> DataFrame:
     placed = salted.repartitionByRange(parts, "head", "text_sha256", "salt")
     placed = placed.withColumn("norm", norm).withColumn("doc_id", F.col("row.doc_id"))
     equal = Window.partitionBy("head", "text_sha256", "salt", "norm")
-    run = placed.select(
+    return placed.select(
         "row",
         "doc_id",
         "text_sha256",
-        "hot_keep",
-        "hot_size",
+        (F.col("salt") >= 0).alias("salted"),
         F.first("doc_id").over(equal.orderBy(F.col("doc_id").asc_nulls_last())).alias("run_keep"),
         F.row_number().over(equal.orderBy(F.col("doc_id").asc_nulls_last())).alias("run_rank"),
         F.count(F.lit(1)).over(equal).alias("run_size"),
     )
-    keep = F.when(F.col("hot_size").isNotNull(), F.col("hot_keep")).otherwise(F.col("run_keep"))
-    return run.select(
-        "row",
-        "doc_id",
-        keep.alias("keep_id"),
-        F.coalesce("hot_size", "run_size").alias("group_size"),
-        ((F.col("run_rank") == 1) & F.col("doc_id").eqNullSafe(keep)).alias("kept"),
-        "text_sha256",
-    )
