@@ -3,9 +3,11 @@
 *Vector best-fit*: a sequence has residual capacities of tokens, of documents and of attention
 cost (the sum of squared piece lengths).  Pieces go in by falling length; each takes, of the
 sequences that can hold it under every constraint, the one with the smallest weighted norm of the
-residual after placement, or the largest weighted dot product of residual and size.  Equal lengths
-are placed together: a sequence that is the best for one stays the best until it is full, so they
-fill the ranked sequences in turn, which costs one array operation for each length.
+residual after placement, or the largest weighted dot product of residual and size.  Under the norm a
+sequence that is the best for one length stays the best until it is full, as its residual only shrinks;
+so pieces of equal length fill the ranked sequences in turn, which costs one array operation for each
+length.  A dot product falls as a sequence fills, so under that rule pieces are placed one by one, from
+a heap of the sequences that can hold the length.
 
 Pieces are dealt by hash into groups of about GROUP_PIECES, at every size alike, and each group is
 packed on its own; a group wastes less than one sequence more than packing all together would.
@@ -16,6 +18,7 @@ as often as they come; other columns are ignored; an empty table gives no pieces
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,13 +38,13 @@ END_ID = 0
 
 @dataclass(frozen=True)
 class Capacity:
-    """What a sequence holds.  By default only tokens bind: as many documents as tokens, and the
-    attention cost of one full-length piece."""
+    """What a sequence holds: by default as many documents as tokens, and the attention cost of one
+    full-length piece.  All three weigh alike in the choice of a sequence."""
 
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
-    weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6)
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
     rule: str = "norm"  # or "dot"
 
 
@@ -75,7 +78,8 @@ def cut(docs: DataFrame, capacity: int = 2048, path: str | None = None) -> DataF
 
 
 def vector_best_fit(lengths: np.ndarray, cap: Capacity) -> np.ndarray:
-    """The sequence (0, 1, ...) of each piece; ``lengths`` are at most cap.tokens."""
+    """The sequence (0, 1, ...) of each piece; ``lengths`` are at most cap.tokens.  Of equal scores the
+    sequence that was opened first is taken."""
     order = np.argsort(-lengths, kind="stable")
     placed = np.empty(len(lengths), np.int64)
     full = np.array([cap.tokens, cap.documents, cap.attention], np.float64)
@@ -88,10 +92,12 @@ def vector_best_fit(lengths: np.ndarray, cap: Capacity) -> np.ndarray:
         size = np.array([v, 1, v * v])
         left = b - a
         fits = np.flatnonzero((residual >= size).all(1))
-        if len(fits):
+        if cap.rule == "dot":
+            residual, name, made = _by_dot(order[a:b], placed, size, residual, name, fits, full, weight, made)
+            left = 0
+        elif len(fits):
             rest = (residual[fits] - size) / full
-            score = (weight * rest * rest).sum(1) if cap.rule == "norm" else -(weight * residual[fits] / full * size / full).sum(1)
-            fits = fits[np.argsort(score, kind="stable")]
+            fits = fits[np.argsort((weight * rest * rest).sum(1), kind="stable")]
             room = (residual[fits] // size).min(1)
             taken = np.minimum(room, np.maximum(0, left - (np.cumsum(room) - room)))
             residual[fits] -= taken[:, None] * size
@@ -113,6 +119,27 @@ def vector_best_fit(lengths: np.ndarray, cap: Capacity) -> np.ndarray:
     return placed
 
 
+def _by_dot(pieces, placed, size, residual, name, fits, full, weight, made):
+    """Place pieces of one length, each where the dot product of residual and size is largest."""
+    ask = weight * size / full / full
+    heap = [(-float(x), int(i)) for x, i in zip((residual[fits] * ask).sum(1), fits, strict=True)]
+    heapq.heapify(heap)
+    residual, name = list(residual), list(name)
+    for p in pieces.tolist():
+        if heap:
+            i = heapq.heappop(heap)[1]
+        else:
+            i = len(residual)
+            residual.append(full.astype(np.int64))
+            name.append(made)
+            made += 1
+        placed[p] = name[i]
+        residual[i] = residual[i] - size
+        if (residual[i] >= size).all():
+            heapq.heappush(heap, (-float((residual[i] * ask).sum()), i))
+    return np.array(residual).reshape(-1, 3), np.array(name, np.int64), made
+
+
 def pack(pieces: DataFrame, cap: Capacity | None = None) -> DataFrame:
     """The pieces with sequence_id and offset (gapless from 0 in each sequence)."""
     cap = cap or Capacity()
@@ -131,7 +158,8 @@ def pack(pieces: DataFrame, cap: Capacity | None = None) -> DataFrame:
         t = t.drop_columns(["pack_group"])
         return t.append_column("sequence_id", pa.array(group * (1 << 32) + at)).append_column("offset", pa.array(begin))
 
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # The place in the written table deals out rows that repeat, too; reading it again gives the same.
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)))
     return per_group(dealt, "pack_group", run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
