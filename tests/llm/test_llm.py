@@ -165,6 +165,43 @@ def test_every_capacity_holds(rule):
         assert own.sum() <= 100 and len(own) <= 3 and ((own**2).sum() <= 5200 or len(own) == 1)
 
 
+def placed_one_by_one(lengths, cap):
+    full = np.array([cap.tokens, cap.documents, cap.attention])
+    left, out = [], [0] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        size = np.array([lengths[i], 1, lengths[i] ** 2])
+        fits = [k for k, r in enumerate(left) if (r >= size).all()]
+        if cap.rule == "norm":
+            best = min(fits, key=lambda k: (float((np.array(cap.weights) * ((left[k] - size) / full) ** 2).sum()), k), default=None)
+        else:
+            best = min(fits, key=lambda k: (-float((left[k] * (np.array(cap.weights) * size / full / full)).sum()), k), default=None)
+        if best is None:
+            best = len(left)
+            left.append(full)
+        left[best] = left[best] - size
+        out[i] = best
+    return out
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("documents,attention", [(3, 900), (100, 10_000), (5, 10_000), (100, 1200)])
+def test_one_by_one(rule, documents, attention):
+    """Capacities that bind: the batches place as a loop over single pieces does."""
+    rnd = random.Random(3)
+    lengths = np.array([rnd.choice([1, 2, 3, 5, 8, 13, 17, 20, 25, 30]) for _ in range(300)])
+    cap = packing.Capacity(100, documents, attention, (1.0, 0.5, 2.0), rule)
+    got, want = packing.vector_best_fit(lengths, cap).tolist(), placed_one_by_one(lengths.tolist(), cap)
+    assert max(got) == max(want)
+    held = lambda places: sorted(sorted(n for n, p in zip(lengths.tolist(), places, strict=True) if p == k) for k in set(places))
+    assert held(got) == held(want)
+
+
+def test_packing_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "x"), (None, None), (2, "")], "doc_id long, text string")
+    got = [tuple(r) for r in packing.pack_documents(df).select("doc_id", "length", "offset", "sequence_id").collect()]
+    assert sorted(x[0] or 0 for x in got) == [0, 0, 1, 1, 2] and len({(x[3], x[2]) for x in got}) == 5
+
+
 def test_round_trip(docs, empty, reference_ids):
     got = by_id(bpe.encode_decode_digests(docs))
     for i, t in enumerate(TEXTS):
@@ -399,6 +436,54 @@ def test_html(spark):
     assert html_render.extract(df.limit(0)).count() == 0
 
 
+def test_html_is_bounded():
+    """Depth, numbers, and cells that would blow a page up."""
+    assert html_render.render("<div>" * 305 + "<div hidden>SECRET</div>shown") == "shown"
+    assert html_render.render("<blockquote>" * 3000 + "deep" + "<ul><li>x" * 3000).split()[0] == "deep"
+    assert html_render.render("<table><tr><td>x" * 2000).split() == ["x"] * 2000
+    assert html_render.render("<ol><li value='--5'>a<li value='²'>b<li value=7>c<li value='-2x'>d</ol>") == "1. a\n2. b\n7. c\n-2. d"
+    assert html_render.render("<table><tr><td colspan='²'>x<td rowspan='-1'>y</table>") == "x  y"
+    page = "<table><tr><td>" + "w " * 30_000 + "<td>b" + "<tr><td>a<td>b" * 3000 + "</table>"
+    text = html_render.render(page)
+    assert text.split() == ["w"] * 40 + ["b"] + ["w"] * 29_960 + ["a", "b"] * 3000 and len(text) < 4 * len(page)
+    long = html_render.render("<table><tr><td>" + "w" * 60_000 + "<td>b" + "<tr><td>a<td>b" * 3000 + "</table>")
+    assert long.split() == ["w" * 60_000, "b"] + ["a", "b"] * 3000 and len(long) < 400_000
+
+
+def test_html_math_and_drawings():
+    page = "<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>tex</annotation></math></p><svg><title>t</title><desc>d</desc><defs><text>no</text></defs><text>Label</text><rect/><text>Two</text></svg>"
+    assert html_render.render(page) == "E = mc2\n\nLabelTwo"
+
+
+def test_html_layout():
+    """Random pages of blocks, lists and tables against a layout made beside them."""
+    rnd = random.Random(5)
+    token = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9)))
+    for _ in range(200):
+        page, want = [], []
+        for _ in range(rnd.randint(1, 5)):
+            kind = rnd.choice(["p", "ul", "ol", "table", "quote"])
+            if kind == "p":
+                w = [token() for _ in range(rnd.randint(1, 6))]
+                page.append("<p>" + rnd.choice([" ", "\n ", " \t"]).join(w))
+                want.append([" ".join(w)])
+            elif kind in ("ul", "ol"):
+                w, n = [token() for _ in range(rnd.randint(1, 4))], rnd.randint(1, 12)
+                page.append(f"<{kind}" + (f" start={n}>" if kind == "ol" else ">") + "".join(f"<li>{x}" for x in w) + f"</{kind}>")
+                want.append([(f"{n + k}. " if kind == "ol" else "- ") + x for k, x in enumerate(w)])
+            elif kind == "quote":
+                w = token()
+                page.append(f"<blockquote>{w}<br>{w}</blockquote>")
+                want.append([f"  {w}"] * 2)
+            else:
+                cols = rnd.randint(1, 4)
+                rows = [[token() for _ in range(cols)] for _ in range(rnd.randint(1, 4))]
+                page.append("<table>" + "".join("<tr>" + "".join(f"<td>{c}" + rnd.choice(["", "</td>"]) for c in r) for r in rows) + "</table>")
+                wide = [max(len(r[c]) for r in rows) for c in range(cols)]
+                want.append(["  ".join(x.ljust(wide[c]) for c, x in enumerate(r)).rstrip() for r in rows])
+        assert html_render.render("".join(page)) == "\n\n".join("\n".join(b) for b in want), page
+
+
 def test_html_words(spark):
     """Every visible word, in order, against a plain walk of the markup."""
     from html.parser import HTMLParser

@@ -27,13 +27,15 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or a temporary one
-    where that is unset (local runs and tests)."""
+    """A folder that driver and executors share: spark.checkpoint.dir, or, where that is unset and all
+    runs in one process (local runs and tests), a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             where = current.get()
+        elif not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         else:
             where = f"file://{tempfile.mkdtemp(prefix='veriloom-')}"
             spark.sparkContext.setCheckpointDir(where)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from urllib.parse import unquote, urlparse
@@ -38,8 +39,10 @@ def save(url: str, name: str, array: np.ndarray) -> None:
 
         where, path = fs.FileSystem.from_uri(url)
         where.create_dir(path, recursive=True)
-        with where.open_output_stream(f"{path}/{name}.npy") as f:
+        part = f"{path}/{name}-{uuid.uuid4().hex}.part"
+        with where.open_output_stream(part) as f:
             np.save(f, array)
+        where.move(part, f"{path}/{name}.npy")
 
 
 def load(url: str, name: str) -> np.ndarray:
