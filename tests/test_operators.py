@@ -1,13 +1,17 @@
 """Small cases of single operators: tables of expected values, and plain Python beside Spark."""
 
+import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from veriloom.functions import excerpt, folding, text
 from veriloom.functions.numbers import wilson
 from veriloom.operators import export, keywords, mirrors, sampling, segments, speakers, statistics, verdicts
+from veriloom.operators.components import connected
 from veriloom.operators.keywords import TermList
 from veriloom.sources import archive, ledger, pages
 from veriloom.schemas import TABLES
@@ -88,27 +92,68 @@ def test_folding():
     assert folding.bold_of("a <b> AI", ["ai", "<B>"]) == "a <b>&lt;b&gt;</b> <b>AI</b>"
 
 
-def test_excerpt_moves_spans():
+def test_excerpt_moves_spans(spark):
     body = "word " * 4000 + "needle here " + "tail " * 4000
-    spans = excerpt.locate_all(body, "needle [...] here")
-    shown, moved, cut = excerpt.excerpt(body, spans, 1000)
-    assert cut and [shown[a:b] for a, b in moved] == ["needle", "here"] and len(shown) <= 1010
-    assert excerpt.excerpt("short", None) == ("short", None, False)
-    assert excerpt.locate_all(body, "needle [...] absent") is None
-
-
-def test_apportion():
-    assert sampling.apportion({"a": 700, "b": 200, "c": 100}, 100) == {"a": 70, "b": 20, "c": 10}
-    assert sampling.apportion({"a": 3, "b": 100}, 20, {"a": 3, "b": 100})["b"] == 19
-    assert sampling.apportion({"a": 50, "b": 50}, 20, {"a": 3, "b": 100}) == {"a": 3, "b": 17}
-    assert sampling.apportion({}, 5) == {} and sampling.apportion({"a": 0}, 5) == {"a": 0}
-
-
-def test_allocation_totals():
-    sizes = {(p, y): n * (k + 1) for p, n in (("US", 60), ("CN", 25), ("JP", 4)) for k, y in enumerate(("2022", "2023", "2024"))}
-    got = sampling.allocate(sizes, 50, sizes)
-    assert sum(got.values()) == 50 and all(got[c] <= sizes[c] for c in sizes)
-    assert sum(n for (p, _), n in got.items() if p == "JP") == sampling.apportion({"US": 360, "CN": 150, "JP": 24}, 50)["JP"]
+    e = excerpt.excerpt_of(F.col("t"), F.col("d"), 1000)
+    df = frame(spark, [(body, "needle [...] here"), ("short", None), (body, "needle [...] absent"), ("a  Big\nCat.", "big cat"), (None, "x")], "t string, d string")
+    a, b, c, d, n = df.select(e.alias("e"), "t").collect()
+    shown = a["e"]["text"]
+    assert a["e"]["truncated"] and [shown[s["start"] : s["end"]] for s in a["e"]["spans"]] == ["needle", "here"] and len(shown) <= 1010
+    assert shown.startswith("… word ") and shown.endswith(" tail …")
+    assert tuple(b["e"]) == ("short", None, False) and c["e"]["spans"] is None and c["e"]["text"] == body[:1000].strip() + " …"
+    assert [tuple(s) for s in d["e"]["spans"]] == [(3, 10)] and tuple(n["e"]) == ("", None, False)
+    r = one(spark, a=excerpt.find_span(F.lit("x \\E (a\n b) y"), F.lit("\\E (a b)")), b=excerpt.find_span(F.lit("x"), F.lit(" ")), c=excerpt.context(F.lit("0123456789"), F.struct(F.lit(4).alias("start"), F.lit(5).alias("end")), 2, 3), d=excerpt.context(F.lit("0123456789"), excerpt.locate(F.lit("a"), F.lit("b")), 2, 3))
+    assert tuple(r["a"]) == (2, 10) and r["b"] is None and (r["c"], r["d"]) == ("…23456…", "012…")
+
+
+def slots(df, *names):
+    return {(tuple(r[n] for n in names) if len(names) > 1 else r[names[0]]): r["slots"] for r in df.collect()}
+
+
+def test_apportioned(spark):
+    def give(weights, total, caps=None):
+        rows = [(k, w, (caps or weights)[k]) for k, w in weights.items()]
+        return slots(sampling.apportioned(frame(spark, rows, "k string, w long, cap long"), total, "w", ["k"], "cap"), "k")
+
+    assert give({"a": 700, "b": 200, "c": 100}, 100) == {"a": 70, "b": 20, "c": 10}
+    assert give({"a": 3, "b": 100}, 20, {"a": 3, "b": 100})["b"] == 19
+    assert give({"a": 50, "b": 50}, 20, {"a": 3, "b": 100}) == {"a": 3, "b": 17}
+    assert give({"a": 1, "b": 1}, 20, {"a": 3, "b": 4}) == {"a": 3, "b": 4}
+    assert give({}, 5) == {} and give({"a": 0}, 5) == {"a": 0} and give({"a": 5}, 0) == {"a": 0}
+
+
+def test_allocation_totals(spark):
+    rows = [(p, y, n * (k + 1)) for p, n in (("US", 60), ("CN", 25), ("JP", 4)) for k, y in enumerate(("2022", "2023", "2024"))]
+    cells = frame(spark, rows, "p string, y string, n long").withColumn("weight", F.col("n"))
+    got = slots(sampling.allocated(cells, 50, "p", "y"), "p", "y")
+    assert sum(got.values()) == 50 and all(got[p, y] <= n for p, y, n in rows)
+    places = slots(sampling.apportioned(cells.groupBy("p").agg(F.sum("n").alias("n")), 50, "n", ["p"]), "p")
+    assert all(sum(n for (p, _), n in got.items() if p == q) == places[q] for q in places)
+    years = {y: sum(n for (_, z), n in got.items() if z == y) for y in ("2022", "2023", "2024")}
+    assert all(abs(years[y] - 50 * (k + 1) / 6) <= 1 for k, y in enumerate(sorted(years)))
+    tight = slots(sampling.allocated(cells.withColumn("n", F.least("n", F.lit(3))), 25, "p", "y"), "p", "y")
+    assert sum(tight.values()) == 25 and max(tight.values()) == 3
+    assert sampling.allocated(cells.limit(0), 5, "p", "y").count() == 0
+
+
+def test_label_plan(spark):
+    vocabulary = [f"l{i}" for i in range(8)]
+    rows = [(i, "US" if i % 3 else "CN", str(2022 + i % 2), sorted({vocabulary[i % 8], vocabulary[(i + 1 + i % 3) % 8]})) for i in range(60)]
+    pop = frame(spark, rows, "candidate_id long, jurisdiction string, year string, own array<string>")
+    plan = sampling.label_plan(pop, "own", vocabulary, 40, 3).collect()
+    own = {r[0]: set(r[3]) for r in rows}
+    assert sum(r["applied"] for r in plan) == 20 and len(plan) == 40 and len({(r["candidate_id"], r["label"]) for r in plan}) == 40
+    assert all((r["label"] in own[r["candidate_id"]]) == r["applied"] and (r["sel_p"] is None) == r["applied"] for r in plan)
+    assert all(0 < r["sel_p"] < 1 for r in plan if not r["applied"])
+    each = [sum(r["candidate_id"] == c for r in plan) for c in own]
+    assert max(each) <= 4
+
+
+def test_family_rates(spark):
+    rows = [("risk", True, True, "agree", None, "a", "US", 1, "n"), ("risk", True, False, "disagree", None, "b", "US", 2, "n"), ("risk", False, False, "agree", 0.5, "c", "US", 3, None), ("risk", False, True, "disagree", 0.1, "d", "CN", 4, "m"), ("risk", False, None, "unsure", 0.1, "e", "CN", 5, None)]
+    r = statistics.family_rates(frame(spark, rows, "family string, applied boolean, human_applies boolean, agreement string, sel_p double, label string, jurisdiction string, candidate_id long, note string")).first()
+    assert (r["n"], r["precision"], r["npv"], r["npv_reweighted"], r["kappa"]) == (4, 0.5, 0.5, round(2 / 12, 4), 0.0)
+    assert [m["label"] for m in r["misses"]] == ["d"] and [m["label"] for m in r["false_applications"]] == ["b"]
 
 
 def test_draw_is_stable(spark):
@@ -122,7 +167,9 @@ def test_draw_is_stable(spark):
 def test_statistics(spark):
     pairs = [(1, 1)] * 30 + [(1, 0)] * 20 + [(0, 1)] * 11 + [(0, 0)] * 39
     df = frame(spark, pairs, "a int, b int")
-    assert statistics.kappa(df, F.col("a"), F.col("b")).first()["kappa"] == round(statistics.kappa_of(pairs), 4) == 0.38
+    assert statistics.kappa(df, F.col("a"), F.col("b")).first()["kappa"] == round(float(statistics.kappas(np.array([[[39, 11], [20, 30]]]))[0]), 4) == 0.38
+    lo, hi = statistics.kappa_interval(pd.DataFrame(pairs))
+    assert lo < 0.38 < hi and (lo, hi) == statistics.kappa_interval(pd.DataFrame(pairs)) and statistics.kappa_interval(pd.DataFrame(pairs[:1])) is None
     assert statistics.kappa(df.limit(0), F.col("a"), F.col("b")).first()["kappa"] is None
     ht = statistics.horvitz_thompson(frame(spark, [(0.5, True), (0.01, False)], "p double, a boolean"), F.col("p"), F.col("a")).first()
     assert ht["rate"] == round(2 / 102, 4) and ht["ess"] < 2
@@ -138,9 +185,22 @@ def test_mirrors(spark):
     part = long[len("w0 ") : -len(" w59")]
     rows = frame(spark, [(1, "US", "A", long, "2024-01-02"), (2, "US", "A", part, "2024-01-01"), (3, "US", "B", part, "2024-01-01"), (4, "US", "B", part, "2023-01-01"), (5, "UK", "A", long, None), (6, "US", "C", None, None)], "id int, j string, s string, t string, date string")
     links = mirrors.containment_links(rows, "id", ["j", "s"], "t").unionByName(mirrors.key_links(rows, "id", [[F.col("j"), F.col("t")]]))
-    out = mirrors.collapsed(rows, "id", links, mirrors.survivor_rank(F.col("t"), F.lit("day"), F.col("date"), F.lit("x")), {"id": F.col("id"), "date": F.col("date")})
-    got = {r["id"]: [m["id"] for m in r["mirrors"]] for r in out.collect()}
-    assert got == {1: [4, 2, 3], 5: [], 6: []}
+    kept, child = mirrors.collapsed(rows, "id", links, mirrors.survivor_rank(F.col("t"), F.lit("day"), F.col("date"), F.lit("x")), {"copy": F.col("id"), "date": F.col("date")})
+    got = {r["id"]: ([m["copy"] for m in r["mirrors"]], r["n_mirrors"]) for r in mirrors.with_mirrors(kept, "id", child).collect()}
+    assert got == {1: ([4, 2, 3], 3), 5: ([], 0), 6: ([], 0)}
+
+
+def test_containment(spark):
+    """Against every pair: copies, texts without blanks, short texts, nulls in group or text."""
+    rnd = random.Random(1)
+    base = ["".join(rnd.choice("ab cd\u4eba\u5de5 ") for _ in range(400)) for _ in range(6)]
+    texts = [b[rnd.randint(0, 100) :][: rnd.choice([100, 120, 150, 400])] for b in base for _ in range(12)] + [None, "", "x" * 130, "x" * 131]
+    rows = [(i, "g" if i % 7 else None, t) for i, t in enumerate(texts)]
+    df = frame(spark, rows, "id int, g string, t string")
+    want = {(a, b) for a, g, long in rows for b, h, short in rows if a != b and g and g == h and long and short and len(short) >= 120 and short in long and (len(long) > len(short) or a < b)}
+    assert {tuple(r) for r in mirrors.containment_pairs(df, "id", ["g"], "t").select("a", "b").collect()} == want and len(want) > 50
+    roots = {r["node"]: r["root"] for r in connected(mirrors.containment_links(df, "id", ["g"], "t")).collect()}
+    assert all(roots[a] == roots[b] for a, b in want) and set(roots) == {x for p in want for x in p}
 
 
 def test_refinement_coercion(spark):

@@ -8,10 +8,11 @@ import re
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WORDLESS = re.compile(r"[^\w\s]|_")
+_WORDLESS = re.compile(r"[^\w\s]")
 
 
 def statement_key_of(text: str | None) -> str | None:
@@ -46,18 +47,20 @@ def bold_of(quote: str | None, phrases) -> str:
     return out
 
 
-def find_span_of(text: str | None, span: str | None) -> tuple[int, int] | None:
-    """Where a span is in a text, white-space runs being equal."""
-    words = (span or "").split()
-    m = re.search(r"\s+".join(map(re.escape, words)), text or "") if words else None
-    return m.span() if m else None
-
-
 @F.pandas_udf(T.StringType())
-def statement_key(s: pd.Series) -> pd.Series:
+def _statement_key(s: pd.Series) -> pd.Series:
     return s.map(statement_key_of)
 
 
+def statement_key(text: Column | str) -> Column:
+    """statement_key_of as a column: texts of ASCII letters stay in the JVM, others go to Python."""
+    c = F.col(text) if isinstance(text, str) else text
+    bare = F.regexp_replace(F.lower(c), r"[\x09-\x0D\x1C-\x20]+", "")
+    plain = ~F.rlike(c, F.lit(r"[^\x00-\x7F]"))
+    odd = _statement_key(F.when(~plain, c))
+    return F.when(plain, F.when(bare != "", F.substring(F.sha2(bare, 256), 1, 32))).otherwise(odd)
+
+
 @F.pandas_udf(T.StringType())
 def containment_key(s: pd.Series) -> pd.Series:
     return s.map(containment_key_of)
@@ -81,9 +84,3 @@ def bold(quote: pd.Series, phrases: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
-
-
-@F.pandas_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-def find_span(text: pd.Series, span: pd.Series) -> pd.DataFrame:
-    got = [find_span_of(t, s) or (None, None) for t, s in zip(text, span, strict=True)]
-    return pd.DataFrame(got, columns=["start", "end"]).astype("Int32")

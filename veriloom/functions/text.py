@@ -66,11 +66,11 @@ def canonical_url(c: Column) -> Column:
 
 
 def words_shown(c: Column) -> Column:
-    """Alphanumeric runs, and each CJK character as one word."""
+    """Alphanumeric runs, and each kana or Han character as one word (F26); Hangul has blanks."""
     plain = F.regexp_replace(F.coalesce(c, F.lit("")), r"\[\.\.\.\]", " ")
-    cjk = r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uac00-\ud7af]"
+    cjk = r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
     spaced = F.regexp_replace(plain, cjk, " ")
-    return F.regexp_count(plain, F.lit(cjk)) + F.regexp_count(spaced, F.lit(r"(?U)[^\W_]+"))
+    return F.regexp_count(plain, F.lit(cjk)) + F.regexp_count(spaced, F.lit(r"[\p{L}\p{N}]+"))
 
 
 def within(span: Column, text: Column) -> Column:

@@ -61,15 +61,33 @@ def exploded(rows: DataFrame, values: str, name: str) -> DataFrame:
     return rows.withColumn(name, F.explode(values)).drop(values)
 
 
-def first_hit(rows: DataFrame, listed: DataFrame, on: Column, key: str, order: str) -> DataFrame:
-    """The first listed entry that fits, for each row."""
+def first_hit(rows: DataFrame, listed: DataFrame, equal: list[str], on: Column, key: str, order: str) -> DataFrame:
+    """The first listed entry that fits, for each row (J22, P02).  ``equal`` are columns that both sides
+    share (a document, a jurisdiction): the condition is tested within them only."""
     w = Window.partitionBy(key).orderBy(order)
-    return rows.join(listed, on).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    return rows.join(listed, equal).where(on).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
 
-def unique_hit(rows: DataFrame, listed: DataFrame, on: Column, key: str, tie: Column) -> DataFrame:
+def unique_hit(rows: DataFrame, listed: DataFrame, equal: list[str], on: Column, key: str, tie: Column) -> DataFrame:
     """The only entry that fits, else the only one that passes the tie-break, else none."""
-    hits = rows.join(listed, on)
+    hits = rows.join(listed, equal).where(on)
     n = F.count(F.lit(1)).over(Window.partitionBy(key))
     m = F.sum(tie.cast("int")).over(Window.partitionBy(key))
     return hits.withColumn("n", n).withColumn("m", m).where((F.col("n") == 1) | ((F.col("m") == 1) & tie)).drop("n", "m")
+
+
+def first_seen(frames: list[DataFrame], key: list[str], order: str) -> DataFrame:
+    """Rows of several result lists, each key once: from the first list, and there the first."""
+    every = [f.withColumn("list_no", F.lit(i)) for i, f in enumerate(frames)]
+    out = every[0]
+    for f in every[1:]:
+        out = out.unionByName(f)
+    w = Window.partitionBy(*key).orderBy("list_no", order)
+    return out.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+
+
+def capped(rows: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` rows, and whether there were more."""
+    first = rows.orderBy(*order).limit(n + 1).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    more = F.max("place").over(Window.partitionBy()) > n
+    return first.withColumn("truncated", more).where(F.col("place") <= n).drop("place")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MATCH
+from ..sources import settings
 
 
 @dataclass(frozen=True)
@@ -24,74 +26,148 @@ class TermList:
 
 
 def read_lists(folder: str) -> list[TermList]:
-    """Term lists kept as JSON files {lang, segmented, keywords}."""
+    """Term lists kept as YAML or JSON files {lang, segmented, keywords}, in file order."""
     out = []
-    for path in sorted(Path(folder).glob("*.json")):
-        d = json.loads(path.read_text(encoding="utf-8"))
-        out.append(TermList(d.get("lang", path.stem), tuple(d.get("keywords", ())), d.get("segmented", True)))
+    for path in _files(folder):
+        d = settings.read(path)
+        out.append(TermList(d.get("lang", path.stem), tuple(map(str, d.get("keywords") or ())), d.get("segmented", True)))
     return out
 
 
+def _files(folder: str) -> list[Path]:
+    return sorted(p for p in Path(folder).iterdir() if p.suffix in (".yaml", ".json"))
+
+
 def version(lists: list[TermList]) -> str:
     """Sixteen hex digits that change with any term list."""
     return hashlib.sha256("\x1f".join(f"{t.lang}\n{t.segmented}\n" + "\n".join(t.terms) for t in lists).encode()).hexdigest()[:16]
 
 
+def folder_version(folder: str) -> str:
+    """The same of a folder of lists: names and contents of its files."""
+    return hashlib.sha256("\x1f".join(f"{p.name}\n{p.read_text(encoding='utf-8')}" for p in _files(folder)).encode()).hexdigest()[:16]
+
+
 def search_terms(terms: TermList) -> list[str]:
     """Terms for search services that know no wildcards."""
     return [t.strip("*") for t in terms.terms]
 
 
-def java_pattern(term: str, segmented: bool) -> str:
-    """A Java regular expression of one term.  ``*`` stands for the rest of a word at either end and
-    for any letters inside; all-capital terms keep their case; apostrophes match both kinds."""
-    quote = lambda s: "".join("['’]" if c == "'" else c if c.isalnum() or c in " _" or ord(c) > 127 else "\\" + c for c in s)
-    if not segmented:
-        return "".join(c if c.isalnum() or c in " _" or ord(c) > 127 else "\\" + c for c in term)
-    core = term[term.startswith("*") :]
-    core = core[:-1] if core.endswith("*") else core
-    wordy = lambda c: bool(c) and (c.isalnum() or c == "_")
-    before = r"\w*" if term.startswith("*") else r"\b" if wordy(core[:1]) else ""
-    after = r"\w*" if term.endswith("*") else r"\b" if wordy(core[-1:]) else ""
-    flags = "(?U)" if re.fullmatch(r"[A-Z.&-]+", core) else "(?iuU)"
-    return flags + before + r"\w*".join(quote(p) for p in core.split("*")) + after
-
-
-def _hits(text: Column, term: str, lang: str, segmented: bool) -> Column:
-    """All matches of one term: lengths of what lies between and of the matches give offsets."""
-    pattern = java_pattern(term, segmented)
-    found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.length)
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("len"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{MATCH}>").alias("out"))
-
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + p["gap"]
-        end = begin + p["len"]
-        one = F.struct(F.lit(term).alias("keyword"), F.lit(lang).alias("lang"), begin.cast("int").alias("start"), end.cast("int").alias("end"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    hits = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    # Most texts lack most terms: one test before the arrays are made.
-    return F.when(F.rlike(text, F.lit(pattern)), hits).otherwise(F.array().cast(f"array<{MATCH}>"))
+@dataclass(frozen=True)
+class Shape:
+    """What a term asks of a text: pieces to match one after the other (characters, or "*" for the rest
+    of a word), whether a word starts and ends at its edges, and whether case counts."""
+
+    pieces: tuple[str, ...]
+    starts: bool = False
+    ends: bool = False
+    cased: bool = False
+
+    @staticmethod
+    def of(term: str, segmented: bool) -> Shape:
+        """Wildcards stand for the rest of a word at the ends, for letters inside; terms in capitals keep
+        their case; word edges count beside letters and digits; unsegmented terms are literal (F01)."""
+        if not segmented:
+            return Shape(tuple("\\*" if c == "*" else c for c in term), cased=True)
+        inner = term.removeprefix("*").removesuffix("*")
+        wordy = lambda c: c.isalnum() or c == "_"
+        return Shape(
+            tuple(term),
+            not term.startswith("*") and wordy(inner[:1] or " "),
+            not term.endswith("*") and wordy(inner[-1:] or " "),
+            bool(inner) and all("A" <= c <= "Z" or c in ".&-" for c in inner),
+        )
+
+
+def _piece(c: str, word: str) -> str:
+    if c == "*":
+        return f"{word}*"
+    return "['’]" if c == "'" else c if c.isalnum() or c in " _" or ord(c) > 127 or len(c) > 1 else "\\" + c
+
+
+def python_pattern(term: str, segmented: bool) -> re.Pattern:
+    shape = Shape.of(term, segmented)
+    body = "".join(_piece(c, r"\w") for c in shape.pieces)
+    return re.compile((r"\b" if shape.starts else "") + body + (r"\b" if shape.ends else ""), re.NOFLAG if shape.cased else re.IGNORECASE)
+
+
+#: A word character as Python and the term lists have it.
+WORD = r"[\p{L}\p{N}_]"
+
+
+def any_pattern(lists: list[TermList]) -> str:
+    """One Java regular expression that finds something where some term of the lists matches.  Terms
+    with equal edges share a tree of their beginnings, so a place in a text is tested once for each
+    first character, not for each term."""
+    trees: dict[tuple[bool, bool, bool], dict] = {}
+    for t in lists:
+        for term in t.terms:
+            shape = Shape.of(term, t.segmented)
+            node = trees.setdefault((shape.starts, shape.ends, shape.cased), {})
+            for c in shape.pieces:
+                node = node.setdefault(c if shape.cased else c.lower(), {})
+            node[""] = {}
+
+    def joined(node: dict) -> str:
+        parts = ["" if c == "" else _piece(c, WORD) + joined(rest) for c, rest in sorted(node.items(), key=lambda x: (x[0] == "", x[0]))]
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+    kinds = [("" if cased else "(?iu)") + (f"(?<!{WORD})" if starts else "") + joined(tree) + (f"(?!{WORD})" if ends else "") for (starts, ends, cased), tree in sorted(trees.items())]
+    return "|".join(f"(?:{k})" for k in kinds) or r"(?!)"
+
+
+def base_language(lang: Column, lists: list[TermList]) -> Column:
+    """The tag if it has a list, else what stands before its first hyphen."""
+    return F.when(lang.isin([t.lang for t in lists]), lang).otherwise(F.element_at(F.split(F.coalesce(lang, F.lit("")), "-"), 1))
+
+
+def hits(text: Column, lang: Column, lists: list[TermList]) -> Column:
+    """Whether a term of the text's list is in it; without a list, of any (F02).  One pattern is tested
+    for each row."""
+    base, out = base_language(lang, lists), None
+    for t in lists:
+        test = F.rlike(text, F.lit(any_pattern([t])))
+        out = F.when(base == t.lang, test) if out is None else out.when(base == t.lang, test)
+    every = F.rlike(text, F.lit(any_pattern(lists)))
+    return F.coalesce(every if out is None else out.otherwise(every), F.lit(False))
+
+
+def matches_of(text: str, base: str | None, lists: tuple[TermList, ...]) -> list[dict]:
+    """Matches of one text, sorted by offsets; a term that two lists share counts once, for the first."""
+    own = [t for t in lists if t.lang == base] or lists
+    found: dict[tuple[str, int, int], str] = {}
+    for t in own:
+        for term, pattern in _compiled(t):
+            for m in pattern.finditer(text):
+                found.setdefault((term, *m.span()), t.lang)
+    rows = [{"keyword": k, "lang": lang, "start": a, "end": z} for (k, a, z), lang in found.items()]
+    return sorted(rows, key=lambda r: (r["start"], r["end"]))
+
+
+@lru_cache(64)
+def _compiled(t: TermList) -> list[tuple[str, re.Pattern]]:
+    return [(term, python_pattern(term, t.segmented)) for term in t.terms]
 
 
 def matches(text: Column, lang: Column, lists: list[TermList]) -> Column:
     """Every match of the text's language list, sorted by offsets; a language without a list (or
-    several languages at once) takes all lists; a term that two lists share counts once (F02)."""
-    known = [t.lang for t in lists]
-    exact = lang.isin(known)
-    base = F.when(exact, lang).otherwise(F.element_at(F.split(F.coalesce(lang, F.lit("")), "-"), 1))
-    by_list = [F.concat(*[_hits(text, term, t.lang, t.segmented) for term in t.terms]) if t.terms else F.array().cast(f"array<{MATCH}>") for t in lists]
-    own = F.when(F.lit(False), F.array().cast(f"array<{MATCH}>"))
-    for t, hits in zip(lists, by_list, strict=True):
-        own = own.when(base == t.lang, hits)
-    # The first list that has (term, start, end) keeps it: numbered, grouped, sorted.
-    every = F.concat(*by_list)
-    keyed = F.transform(every, lambda m, i: F.struct(m["keyword"].alias("keyword"), m["start"].alias("start"), m["end"].alias("end"), i.alias("i"), m["lang"].alias("lang")))
-    first = F.filter(keyed, lambda m: ~F.exists(keyed, lambda o: (o["keyword"] == m["keyword"]) & (o["start"] == m["start"]) & (o["end"] == m["end"]) & (o["i"] < m["i"])))
-    merged = F.transform(first, lambda m: F.struct(m["keyword"], m["lang"], m["start"], m["end"]))
-    return sorted_matches(F.when(base.isin(known), own).otherwise(merged.cast(f"array<{MATCH}>")))
+    several languages at once) takes all lists (F02).  Only texts that some pattern finds go to
+    Python, which knows offsets in code points and overlapping terms."""
+    known = tuple(lists)
+
+    def run(texts: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([[] if t is None else matches_of(t, b, known) for t, b in zip(texts, bases, strict=True)])
+
+    # Not deterministic for the planner alone: so that a filter on the result does not run it again.
+    found = F.pandas_udf(run, f"array<{MATCH}>").asNondeterministic()
+    return found(F.when(hits(text, lang, lists), text), base_language(lang, lists))
+
+
+def scanned(rows: DataFrame, text: str, lang: str, lists: list[TermList]) -> DataFrame:
+    """The rows that match, with their ``matches``: one pattern for each row filters in the JVM, and
+    matches are found once, behind it."""
+    some = rows.where(hits(F.col(text), F.col(lang), lists))
+    return some.withColumn("matches", matches(F.col(text), F.col(lang), lists)).where(F.size("matches") > 0)
 
 
 def sorted_matches(m: Column) -> Column:
@@ -107,7 +183,7 @@ def candidates(utterances: DataFrame, lists: list[TermList], existing: DataFrame
     rows = utterances if sources is None else utterances.where(F.col("source").isin(sources))
     if existing is not None:
         rows = rows.join(existing.where(F.col("keyword_version") == tag).select(F.col("utterance_id").alias("id")), "id", "left_anti")
-    return rows.withColumn("matches", matches(F.col("text"), F.col("language"), lists)).where(F.size("matches") > 0).withColumn("keyword_version", F.lit(tag))
+    return scanned(rows, "text", "language", lists).withColumn("keyword_version", F.lit(tag))
 
 
 def migrated(cands: DataFrame, quoted: DataFrame, judged: DataFrame) -> DataFrame:

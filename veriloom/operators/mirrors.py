@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import grams
+from ..storage import written
+from .components import connected
+
 CONTAINED = 120
-#: Words of the probe that finds candidates of containment.
-PROBE = 6
 
 
 def key_links(rows: DataFrame, row_id: str, keys: list[list[Column]]) -> DataFrame:
@@ -26,65 +28,70 @@ def key_links(rows: DataFrame, row_id: str, keys: list[list[Column]]) -> DataFra
 
 
 def containment_links(rows: DataFrame, row_id: str, group: list[str], text: str, shortest: int = CONTAINED) -> DataFrame:
-    """Links from a text to longer texts of its group that contain it.
-
-    Whole words inside the shorter text stand as words in the longer one too, so the run of PROBE
-    words after the first is a key: every text offers all of its runs, a shorter text asks for one.
-    Texts of too few words are compared within their group by length."""
-    w = F.split(F.col(text), r"\s+")
-    base = rows.select(F.col(row_id).alias("id"), *group, F.col(text).alias("t")).where(F.length("t") > 0)
-    words = base.withColumn("w", F.split("t", r"\s+"))
-    run = lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(PROBE)), " "))
-    asks = words.where((F.length("t") >= shortest) & (F.size("w") >= PROBE + 2)).select(F.col("id").alias("b"), *group, F.col("t").alias("short"), run(F.lit(2)).alias("probe"))
-    offers = words.where(F.size("w") >= PROBE).select(F.col("id").alias("a"), *group, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - PROBE + 1), run))).alias("probe"))
-    found = asks.join(offers, [*group, "probe"]).where("a <> b").select("a", "b", *group, "short").join(base.select(F.col("id").alias("a"), F.col("t").alias("long")), "a")
-    few = words.where((F.length("t") >= shortest) & (F.size("w") < PROBE + 2)).select(F.col("id").alias("b"), *group, F.col("t").alias("short"))
-    near = few.join(base.select(F.col("id").alias("a"), *group, F.col("t").alias("long")), group).where("a <> b").select("a", "b", *group, "short", "long")
-    fits = F.contains(F.col("long"), F.col("short")) & ((F.length("long") > F.length("short")) | ((F.length("long") == F.length("short")) & (F.col("a") < F.col("b"))))
-    del w
-    return found.select("a", "b", *group, "short", "long").unionByName(near).where(fits).select("a", "b").distinct()
-
-
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
-    """node and the smallest node it reaches, by label propagation with pointer jumping; lineage is
-    cut with checkpoint() in the folder that spark.checkpoint.dir names."""
-    spark = links.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}")
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root")).checkpoint()
-    for _ in range(rounds):
-        low = both.join(roots.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
-        near = roots.join(low, "node").select("node", "root", F.least("root", "r").alias("new"))
-        told = near.where("new < root").groupBy(F.col("root").alias("node")).agg(F.min("new").alias("told"))
-        step = near.join(told, "node", "left").select("node", F.col("root").alias("old"), F.least("new", F.coalesce("told", "new")).alias("root"))
-        up = step.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        after = step.join(up, "root", "left").select("node", "old", F.coalesce("up", "root").alias("root")).checkpoint()
-        if after.where("old <> root").isEmpty():
-            return after.select("node", "root")
-        roots = after.select("node", "root")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
-
-
-def collapsed(rows: DataFrame, row_id: str, links: DataFrame, rank: list[Column], mirror: dict[str, Column]) -> DataFrame:
-    """One row of each component, the first by ``rank`` and id; what the others were goes to its
-    ``mirrors``.  Only the survivor's row is carried through the window."""
-    roots = components(links).select(F.col("node").alias(row_id), "root")
-    named = rows.join(roots, row_id, "left").withColumn("root", F.coalesce("root", row_id))
-    w = Window.partitionBy("root").orderBy(*rank, row_id)
-    ranked = named.withColumn("place", F.row_number().over(w))
-    others = ranked.where("place > 1").groupBy("root").agg(F.sort_array(F.collect_list(F.struct("place", *[c.alias(k) for k, c in mirror.items()]))).alias("m"))
-    kept = ranked.where("place = 1").drop("place").join(others, "root", "left")
-    shown = F.transform(F.coalesce(F.col("m"), F.expr("cast(array() as array<struct<place:int," + ",".join(f"{k}:{t}" for k, t in _types(ranked, mirror).items()) + ">>)")), lambda x: F.struct(*[x[k].alias(k) for k in mirror]))
-    return kept.withColumn("mirrors", shown).drop("m", "root")
-
-
-def _types(df: DataFrame, columns: dict[str, Column]) -> dict[str, str]:
-    return dict(df.select(*[c.alias(k) for k, c in columns.items()]).dtypes)
+    """Links that join each text to the longer texts of its group that contain it, and to its copies.
+
+    Copies collapse first: a link stands between the smallest rows of two texts, and a copy is linked
+    to the smallest of its text, so n copies have n links.  Candidates share (group, key): every text
+    offers the smallest gram of each of its windows of ``shortest`` characters, a text asks for its
+    smallest gram (``functions.grams``); no script needs blanks, and no group is compared as a whole.
+    A null in the group or the text links nothing.  ``shortest`` is at least ``grams.SHORTEST``."""
+    if shortest < grams.SHORTEST:
+        raise ValueError(f"texts under {grams.SHORTEST} characters need not share a gram with what contains them")
+    base = rows.select(F.col(row_id).alias("id"), *group, F.col(text).alias("t")).where(F.length("t") >= shortest).dropna(subset=group)
+    print_ = base.select("id", *group, F.sha2("t", 256).alias("h"))
+    low = print_.groupBy(*group, "h").agg(F.min("id").alias("a"))
+    copies = print_.join(written(low, "texts"), [*group, "h"]).where("id <> a").select("a", F.col("id").alias("b"))
+    one = written(base.join(low.select(F.col("a").alias("id")), "id", "left_semi"), "texts")
+    asks = one.select(F.col("id").alias("b"), *group, F.length("t").alias("n_b"), grams.probe("t").alias("key"))
+    offers = one.select(F.col("id").alias("a"), *group, F.length("t").alias("n_a"), F.explode(grams.offers("t")).alias("key"))
+    found = asks.join(offers, [*group, "key"]).where("n_a > n_b").select("a", "b")
+    texts = lambda name, t: one.select(F.col("id").alias(name), F.col("t").alias(t))
+    held = found.join(texts("b", "short"), "b").join(texts("a", "long"), "a").where(F.contains("long", F.col("short")))
+    return held.select("a", "b").unionByName(copies)
+
+
+def containment_pairs(rows: DataFrame, row_id: str, group: list[str], text: str, shortest: int = CONTAINED) -> DataFrame:
+    """Every pair (a, b) of rows where the text of a contains that of b, copies by smaller row (J11);
+    as many rows as there are pairs."""
+    links = written(containment_links(rows, row_id, group, text, shortest), "links")
+    base = rows.select(F.col(row_id).alias("id"), *group, F.col(text).alias("t")).where(F.length("t") >= shortest).dropna(subset=group)
+    linked = base.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    copies = linked.select("id", *group, F.sha2("t", 256).alias("h"))
+    low = copies.groupBy(*group, "h").agg(F.min("id").alias("low"))
+    named = written(copies.join(low, [*group, "h"]).select("id", "low"), "copies")
+    of = lambda name: named.select(F.col("id").alias(name), F.col("low").alias(f"low_{name}"))
+    heads = links.join(named.where("id = low").select(F.col("low").alias("b")), "b", "left_semi")
+    held = heads.select(F.col("a").alias("low_a"), F.col("b").alias("low_b")).join(of("a"), "low_a").join(of("b"), "low_b").select("a", "b")
+    same = of("a").join(of("b"), F.col("low_a") == F.col("low_b")).where("a < b").select("a", "b")
+    return held.unionByName(same)
+
+
+def collapsed(rows: DataFrame, row_id: str, links: DataFrame, rank: list[Column], mirror: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """One row of each component, the first by ``rank`` and id, with ``n_mirrors``; and what the others
+    were: a row for each, with the survivor's id, its place and the ``mirror`` columns.
+
+    The first of a component is a minimum, which combines before its shuffle, so no task holds all
+    copies of a statement."""
+    roots = connected(links).select(F.col("node").alias(row_id), "root")
+    place = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)], F.col(row_id).alias("id"))
+    members = written(rows.join(roots, row_id).select(F.col(row_id).alias("member"), "root", place.alias("place"), *[c.alias(f"m_{k}") for k, c in mirror.items()]), "members")
+    best = written(members.groupBy("root").agg(F.min("place")["id"].alias("survivor"), (F.count(F.lit(1)) - 1).cast("int").alias("n_mirrors")), "survivors")
+    others = members.join(best.select("root", "survivor"), "root").where("member <> survivor")
+    child = others.select("survivor", "place", *[F.col(f"m_{k}").alias(k) for k in mirror])
+    counted = best.select(F.col("survivor").alias(row_id), "n_mirrors")
+    gone = others.select(F.col("member").alias(row_id))
+    kept = rows.join(gone, row_id, "left_anti").join(counted, row_id, "left").withColumn("n_mirrors", F.coalesce("n_mirrors", F.lit(0)))
+    return kept, child
+
+
+def with_mirrors(kept: DataFrame, row_id: str, child: DataFrame) -> DataFrame:
+    """The survivors with an array of their mirrors in rank order, as a payload shows them."""
+    fields = [c for c in child.columns if c not in ("survivor", "place")]
+    lists = child.groupBy(F.col("survivor").alias(row_id)).agg(F.sort_array(F.collect_list(F.struct("place", *fields))).alias("m"))
+    shown = F.transform("m", lambda x: F.struct(*[x[k].alias(k) for k in fields]))
+    return kept.join(lists.select(row_id, shown.alias("mirrors")), row_id, "left").withColumn("mirrors", F.coalesce("mirrors", F.array()))
 
 
 def survivor_rank(text: Column, precision: Column, date: Column, source: Column) -> list[Column]:
-    """Longest text, real day, earliest date, then source."""
-    return [F.length(F.coalesce(text, F.lit(""))).desc(), F.when(F.coalesce(precision, F.lit("day")) == "day", 0).otherwise(1), F.coalesce(date.cast("string"), F.lit("9999-99-99")), F.coalesce(source, F.lit(""))]
+    """Longest text, real day, earliest date, then source (W06): the smallest comes first."""
+    return [-F.length(F.coalesce(text, F.lit(""))), F.when(F.coalesce(precision, F.lit("day")) == "day", 0).otherwise(1), F.coalesce(date.cast("string"), F.lit("9999-99-99")), F.coalesce(source, F.lit(""))]

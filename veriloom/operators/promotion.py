@@ -3,12 +3,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.folding import statement_key
 from ..functions.text import words_shown, spliced
 from ..schemas import MULTILINGUAL_TAGS
+from ..sources.records import review_status
 from . import sampling, verdicts
 from .speakers import jurisdiction
 
@@ -26,9 +27,11 @@ def refreshed(quotes: DataFrame, best: DataFrame) -> DataFrame:
 
 
 def with_promoted_mirrors(quotes: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """What a quote's duplicates were, once each (V13).  ``duplicates`` has span_key, source, url, date."""
+    """Quotes with what their duplicates were added to their mirrors, once each (V13).  ``duplicates`` has
+    span_key, source, url, date."""
     m = duplicates.groupBy("span_key").agg(F.sort_array(F.collect_set(F.struct("source", "url", "date"))).alias("new_mirrors"))
-    return quotes.drop("mirrors").join(m, "span_key", "left").withColumn("mirrors", F.coalesce("new_mirrors", F.expr("cast(array() as array<struct<source:string,url:string,date:date>>)"))).drop("new_mirrors")
+    none = F.expr("cast(array() as array<struct<source:string,url:string,date:date>>)")
+    return quotes.join(m, "span_key", "left").withColumn("mirrors", F.array_distinct(F.concat(F.coalesce("mirrors", none), F.coalesce("new_mirrors", none)))).drop("new_mirrors")
 
 
 def quotes_of(rows: DataFrame) -> DataFrame:
@@ -54,6 +57,7 @@ def quotes_of(rows: DataFrame) -> DataFrame:
         "source",
         "span_key",
         statement_key(v["quote_span"]).alias("statement_key"),
+        review_status(F.col("meta")).alias("review_status"),
     )
 
 
@@ -72,22 +76,45 @@ def disputed(quotes: DataFrame, refuted: DataFrame) -> DataFrame:
 
 def skeptic_sample(quotes: DataFrame, n: int, seed: int) -> DataFrame:
     """A sample in proportion to jurisdictions, one of each at least."""
-    sizes = {(r["jurisdiction"],): r["count"] for r in quotes.groupBy("jurisdiction").count().collect()}
-    total = sum(sizes.values()) or 1
-    return sampling.drawn(quotes, "candidate_id", ["jurisdiction"], {k: max(1, round(n * v / total)) for k, v in sizes.items()}, seed)
+    sizes = quotes.groupBy("jurisdiction").agg(F.count(F.lit(1)).alias("n"))
+    share = F.lit(n) * F.col("n") / F.sum("n").over(Window.partitionBy())
+    return sampling.drawn(quotes, "candidate_id", ["jurisdiction"], sizes.select("jurisdiction", F.greatest(F.bround(share), F.lit(1)).cast("long").alias("slots")), seed)
+
+
+def needs_translation(language: Column) -> Column:
+    """Tagged with a language other than English."""
+    return ~F.coalesce(language, F.lit("")).isin("en", *MULTILINGUAL_TAGS)
 
 
 def refinement_problem(refined: Column, text: Column, language: Column, most: int = 150) -> Column:
     """Why a refinement fails its guards, as feedback for one retry; null if it passes."""
     english = F.coalesce(F.nullif(refined["display_quote_en"], F.lit("")), refined["display_quote"])
-    foreign = ~F.coalesce(language, F.lit("")).isin("en", *MULTILINGUAL_TAGS)
     return (
         F.when(~F.coalesce(spliced(refined["display_quote"], text), F.lit(False)), "display_quote is not spliced from the passage")
-        .when(foreign & (F.coalesce(refined["display_quote_en"], F.lit("")) == ""), "display_quote_en is missing")
+        .when(needs_translation(language) & (F.coalesce(refined["display_quote_en"], F.lit("")) == ""), "display_quote_en is missing")
         .when(words_shown(english) > most, F.concat(F.lit("the quote has "), words_shown(english).cast("string"), F.lit(" words")))
     )
 
 
+def refine_message(quotes: DataFrame, passage: Column) -> Column:
+    """The refining judge's view of a quote."""
+    line = lambda name, c: F.concat(F.lit(f"{name}: "), c, F.lit("\n"))
+    return F.concat(
+        line("Jurisdiction", F.col("jurisdiction")), line("Speaker", F.col("speaker_display")), line("Date", F.coalesce(F.col("date").cast("string"), F.lit("None"))),
+        line("Setting", F.coalesce("speech_context", "title", F.lit("unknown"))), line("Language", F.coalesce("language", F.lit("en"))), line("First-stage topics", F.coalesce(F.nullif(F.array_join("concepts", ", "), F.lit("")), F.lit("none"))),
+        F.lit("\nACCEPTED QUOTE (first-stage span):\n"), F.col("quote_original"), F.lit("\n\nPASSAGE (source text around the quote; display_quote segments must be verbatim substrings of this):\n"), passage,
+    )
+
+
+def skeptic_message(longest: int = 6000) -> Column:
+    """The skeptic's view of a quote."""
+    c = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("None"))
+    return F.concat(
+        F.lit("Jurisdiction: "), c("jurisdiction"), F.lit("\nSpeaker: "), c("speaker_display"), F.lit("\nDate: "), c("date"), F.lit("\nSetting: "), c("context"), F.lit("\nLabeled concepts: "), F.to_json(F.col("concepts")),
+        F.lit("\nLabeled quote_type: "), c("quote_type"), F.lit("\n\nACCEPTED QUOTE:\n"), F.col("quote_original"), F.lit("\n\nFULL SOURCE PASSAGE:\n"), F.substring("text", 1, longest),
+    )
+
+
 def refined_rows(quotes: DataFrame, log: DataFrame, prompt: str) -> DataFrame:
     """Quotes with their best refinement and the judges' consensus."""
     best = verdicts.best_refinement(log, prompt).select("candidate_id", verdicts.parsed_refinement(F.col("verdict")).alias("refined"))

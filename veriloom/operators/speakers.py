@@ -13,8 +13,8 @@ from ..functions.text import content_key, squeeze
 from ..schemas import INTERNATIONAL_SOURCES, SOURCE_PREFIXES
 
 UNIDENTIFIED_ROLES = ["unknown", "unspecified", "unidentified speaker", "institutional/procedural"]
-#: Words of a trailing note that mark an attribution as doubtful; a parameter of resolution().
-DOUBT = ["ambiguous", "unclear", "unknown", "unidentified", "unspecified", "uncertain", "unnamed", "procedural"]
+# Words of a trailing note, or of a role, that mark an attribution as doubtful.
+DOUBT = ["ambiguous", "best-effort", "best effort", "identity unclear", "unidentified", "unnamed", "procedural"]
 
 
 def jurisdiction(source: Column) -> Column:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,27 +65,57 @@ def kappa(rows: DataFrame, a: Column, b: Column) -> DataFrame:
     return out.select(F.coalesce("n", F.lit(0)).alias("n"), F.round(F.when(pe < 1, (po - pe) / (1 - pe)), 4).alias("kappa"))
 
 
-def kappa_of(pairs: list[tuple]) -> float | None:
-    n = len(pairs)
-    if not n:
-        return None
-    a, b = Counter(x for x, _ in pairs), Counter(y for _, y in pairs)
-    po, pe = sum(x == y for x, y in pairs) / n, sum(a[v] * b[v] for v in a) / (n * n)
-    return None if pe >= 1 else (po - pe) / (1 - pe)
+def kappas(tables: np.ndarray) -> np.ndarray:
+    """Cohen's kappa of each of a stack of square contingency tables; NaN where chance leaves no room."""
+    n = tables.sum((1, 2)).astype(float)
+    seen = np.trace(tables, axis1=1, axis2=2)
+    by_chance = (tables.sum(2) * tables.sum(1)).sum(1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(by_chance < n * n, (seen * n - by_chance) / (n * n - by_chance), np.nan)
 
 
 def kappa_interval(pairs: pd.DataFrame, times: int = BOOTSTRAP, seed: int = BOOTSTRAP_SEED) -> tuple[float, float] | None:
-    """Percentile bootstrap over the units of a review sample, which is small by design."""
-    units = list(pairs.itertuples(index=False, name=None))
-    rng, draws = random.Random(seed), []
-    for _ in range(times):
-        k = kappa_of([units[rng.randrange(len(units))] for _ in units])
-        if k is not None:
-            draws.append(k)
-    if len(units) < 2 or len(draws) < times // 2:
+    """Percentile bootstrap over the units of a review sample, which is small by design (A14): each
+    resample is a contingency table of drawn units, all tables are evaluated at once."""
+    n = len(pairs)
+    if n < 2:
         return None
-    draws.sort()
-    return round(draws[int(0.025 * (len(draws) - 1))], 4), round(draws[round(0.975 * (len(draws) - 1))], 4)
+    values = pd.unique(pairs.to_numpy().ravel())
+    code = pd.Index(values).get_indexer(pairs.iloc[:, 0]) * len(values) + pd.Index(values).get_indexer(pairs.iloc[:, 1])
+    rng = random.Random(seed)
+    units = np.fromiter((rng.randrange(n) for _ in range(times * n)), np.int64, times * n).reshape(times, n)
+    cells = len(values) ** 2
+    tables = np.bincount((code[units] + cells * np.arange(times)[:, None]).ravel(), minlength=times * cells)
+    got = kappas(tables.reshape(times, len(values), len(values)))
+    got = np.sort(got[~np.isnan(got)])
+    if len(got) < times // 2:
+        return None
+    last = len(got) - 1
+    return round(float(got[int(0.025 * last)]), 4), round(float(got[round(0.975 * last)]), 4)
+
+
+def family_rates(rows: DataFrame, by: str = "family") -> DataFrame:
+    """For each family: precision and NPV of decided pairs, NPV reweighted to the whole vocabulary,
+    kappa, and lists of misses and false applications (A16).  ``rows`` are the pairs of a review sample
+    (applied, human_applies, agreement, sel_p, label, jurisdiction, candidate_id, note)."""
+    d = rows.where("agreement is not null and agreement <> 'unsure'")
+    j, h = F.col("applied"), F.col("human_applies")
+    w = F.when(~j & (F.col("sel_p") > 0), 1.0 / F.col("sel_p"))
+    told = F.struct("label", "jurisdiction", "candidate_id", "note")
+    listed = lambda cond: F.sort_array(F.collect_list(F.when(cond, told)))
+    g = d.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(j & h).alias("tp"), F.count_if(j).alias("applied"), F.count_if(h).alias("human"), F.count_if(~j & ~h).alias("tn"), F.count_if(~j).alias("left_off"),
+        F.sum(w).alias("w"), F.sum(F.when(~h, w)).alias("w_agreed"), listed(~j & h).alias("misses"), listed(j & ~h).alias("false_applications"),
+    )
+    po = (F.col("tp") + F.col("tn")) / F.col("n")
+    pe = (F.col("applied") * F.col("human") + F.col("left_off") * (F.col("n") - F.col("human"))) / (F.col("n") * F.col("n"))
+    share = lambda k, n: F.round(F.when(F.col(n) > 0, F.col(k) / F.col(n)), 4)
+    return g.select(
+        by, "n", share("tp", "applied").alias("precision"), share("tn", "left_off").alias("npv"),
+        F.round(F.when(F.col("w") > 0, F.coalesce("w_agreed", F.lit(0.0)) / F.col("w")), 4).alias("npv_reweighted"),
+        F.round(F.when(pe < 1, (po - pe) / (1 - pe)), 4).alias("kappa"), "misses", "false_applications",
+    )
 
 
 def horvitz_thompson(rows: DataFrame, p: Column, agree: Column, *by: str) -> DataFrame:

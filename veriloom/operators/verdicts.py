@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import content_key, squeeze, within
-from ..schemas import BARS, COARSE_TOPICS, FRONTIER_TOPICS, POLICY_INSTRUMENTS, QUOTE_TYPES, REFINEMENT, RISK_SUBDOMAINS, STANCES, TOPICS, VERDICT
+from ..schemas import BARS, COARSE_TOPICS, FRONTIER_TOPICS, POLICY_INSTRUMENTS, QUOTE_TYPES, REFINEMENT, REGULATION_SCORES, RISK_SCORES, RISK_SUBDOMAINS, STANCES, TOPICS, VERDICT
 
 
 def topics(relevance: Callable[[str], Column]) -> Column:
@@ -39,8 +39,8 @@ def parsed_verdict(raw: Column) -> Column:
     fine = F.lit(True)
     for t in ("ai", *TOPICS):
         fine = fine & score(v["relevance"][t])
-    for group, names in (("x_risk_sub", "misuse loss_of_control natsec_stability cbrn socioeconomic"), ("regulation_sub", "export_controls standards_certification auditing international_coordination military_defense surveillance alignment adversarial_robustness")):
-        for n in names.split():
+    for group, names in (("x_risk_sub", RISK_SCORES), ("regulation_sub", REGULATION_SCORES)):
+        for n in names:
             fine = fine & sub(v["relevance"][group][n])
     for name in ("rationale", "quote_span", "is_substantive", "speaker_owns_statement", "speaker_in_scope", "context_note"):
         fine = fine & v[name].isNotNull()
@@ -73,8 +73,8 @@ def best_of(rows: DataFrame, key: list[str], *order: Column) -> DataFrame:
 
 def best_adjudication(log: DataFrame, prompt: str) -> DataFrame:
     """Current prompt first, then confirm over escalation over primary, then the newest."""
-    role = F.when(F.col("role") == "confirm", 0).when(F.col("role") == "escalation", 1).when(F.col("role") == "primary", 2).otherwise(3)
-    rows = log.where("verdict is not null and coalesce(role, '') <> 'skeptic'")
+    role = F.when(F.col("role") == "confirm", 0).when(F.col("role") == "escalation", 1).otherwise(2)
+    rows = log.where("verdict is not null and role in ('confirm', 'escalation', 'primary')")
     return best_of(rows, ["candidate_id"], (F.col("prompt_sha256") == prompt).desc(), role, F.col("id").desc())
 
 

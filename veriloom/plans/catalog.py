@@ -36,7 +36,7 @@ TERMS = [TermList("en", ("pathetic", "worthless", "disgust*", "idiot", "clown",
 
 
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").withColumn("matches", keywords.matches(F.coalesce("text", F.lit("")), F.col("lang"), TERMS))
+    return keywords.scanned(t(spark, d, "documents"), "text", "lang", TERMS)
 
 
 _HITS = """
@@ -56,7 +56,7 @@ _HITS = """
 )
 def keyword_ablation(spark, d):
     """A07 over F02: candidates, unique candidates and accepted ones of each keyword."""
-    rows = _scanned(spark, d).where(F.size("matches") > 0).select("doc_id", "matches").join(t(spark, d, "labels"), "doc_id", "left")
+    rows = _scanned(spark, d).select("doc_id", "matches").join(t(spark, d, "labels"), "doc_id", "left")
     return keywords.ablation(rows, F.col("quality") == 1)
 
 
@@ -91,8 +91,8 @@ def exact_mirror_collapse(spark, d):
     """A22, W06 with key links only: one row of each statement, and how many mirrors it has."""
     rows = t(spark, d, "documents").withColumn("k", text.squeeze(F.coalesce("text", F.lit(""))))
     links = mirrors.key_links(rows, "doc_id", [[F.col("k")]])
-    kept = mirrors.collapsed(rows.drop("k"), "doc_id", links, mirrors.survivor_rank(F.col("text"), F.lit("day"), F.lit(None), F.col("source")), {"id": F.col("doc_id"), "source": F.col("source")})
-    return kept.select("doc_id", "source", F.size("mirrors").alias("n_mirrors"))
+    kept, _ = mirrors.collapsed(rows.drop("k"), "doc_id", links, mirrors.survivor_rank(F.col("text"), F.lit("day"), F.lit(None), F.col("source")), {"source": F.col("source")})
+    return kept.select("doc_id", "source", "n_mirrors")
 
 
 @query(
@@ -103,7 +103,7 @@ def exact_mirror_collapse(spark, d):
 def containment_pairs(spark, d):
     """Texts contained in longer ones of the same group."""
     rows = t(spark, d, "documents").withColumn("t", text.squeeze(F.coalesce("text", F.lit(""))))
-    return mirrors.containment_links(rows, "doc_id", ["lang", "source"], "t")
+    return mirrors.containment_pairs(rows, "doc_id", ["lang", "source"], "t")
 
 
 @query(
@@ -359,8 +359,8 @@ def word_count_cap(spark, d):
 
 
 @query(
-    """WITH p AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\[\\.\\.\\.\\]', ' ', 'g') AS t FROM documents), c AS (SELECT *, '[\\x{3040}-\\x{30ff}\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}\\x{f900}-\\x{faff}\\x{ac00}-\\x{d7af}]' AS cjk FROM p)
-    SELECT doc_id, (len(regexp_extract_all(t, cjk)) + len(regexp_extract_all(regexp_replace(t, cjk, ' ', 'g'), '[\\p{L}\\p{M}\\p{Nd}\\p{Nl}]+')))::INTEGER AS n_words FROM c"""
+    """WITH p AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\[\\.\\.\\.\\]', ' ', 'g') AS t FROM documents), c AS (SELECT *, '[\\x{3040}-\\x{30ff}\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}\\x{f900}-\\x{faff}]' AS cjk FROM p)
+    SELECT doc_id, (len(regexp_extract_all(t, cjk)) + len(regexp_extract_all(regexp_replace(t, cjk, ' ', 'g'), '[\\p{L}\\p{N}]+')))::INTEGER AS n_words FROM c"""
 )
 def word_count_all(spark, d):
     """F26 on all documents, whatever their language and letters."""

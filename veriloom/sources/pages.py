@@ -192,7 +192,3 @@ def definitions(markdown: str) -> dict[str, dict[str, str]]:
             title, _, text = m[2].partition(". ")
             out[s] = {"title": title.rstrip("."), "text": text}
     return out
-
-
-def plain(markup: str) -> str:
-    return " ".join(html.unescape(re.sub(r"(?s)<[^>]+>", " ", markup)).split())

@@ -140,7 +140,7 @@ def meeting_in_scope(kind: Column, title: Column, date: Column, start: str, end:
 
 def review_status(meta: Column) -> Column:
     """disputed where the record says that it continues another's sentence."""
-    return F.when(F.get_json_object(meta, "$.continues_previous").isin("true", "1"), "disputed").otherwise("unreviewed")
+    return F.when(F.get_json_object(meta, "$.continues_previous").isin("true", "1"), "disputed").otherwise("accepted")
 
 
 def weekdays(spans: DataFrame) -> DataFrame:

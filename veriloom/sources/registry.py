@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -11,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CJK_LANGUAGES
+from . import settings
 
 
 @dataclass(frozen=True)
@@ -60,8 +59,8 @@ def whole_range(spark: SparkSession, source: str, start: str, end: str) -> DataF
 
 
 def config(folder: str, name: str) -> dict:
-    """A JSON file of settings."""
-    return json.loads(Path(folder, f"{name}.json").read_text(encoding="utf-8"))
+    """A file of settings, YAML or JSON."""
+    return settings.read(next(p for p in (Path(folder, f"{name}.yaml"), Path(folder, f"{name}.json")) if p.exists()))
 
 
 def prompt(path: str) -> tuple[str, str]:
@@ -81,7 +80,3 @@ def unlinked(quotes: DataFrame) -> DataFrame:
     """Distinct jurisdiction and name of quotes without a speaker, sorted, as lines."""
     rows = quotes.where("speaker_id is null").select("jurisdiction", "speaker_display").distinct()
     return rows.orderBy("jurisdiction", "speaker_display").select(F.concat_ws("\t", "jurisdiction", "speaker_display").alias("value"))
-
-
-def unsegmented(language: str) -> bool:
-    return language in CJK_LANGUAGES
