@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -13,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import scratch, written  # noqa: F401  (for the operators)
+
 #: Characters that one Python call works on; bounds the memory of the array kernels.
 BATCH_CHARS = 2_000_000
 
@@ -26,34 +27,6 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or, where that is unset and all
-    runs in one process (local runs and tests), a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            where = current.get()
-        elif not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        else:
-            where = f"file://{tempfile.mkdtemp(prefix='veriloom-')}"
-            spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/veriloom/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 _shipped: set[str] = set()
 
 

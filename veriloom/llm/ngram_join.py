@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected
 from .common import map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
-from .components import connected
 from .shared_arrays import with_ids, write_ids
 
 WORDS = 5
@@ -406,7 +406,10 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     roots = connected(_links(docs, classes, meetings, n, percent))
     one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"))
     one = one.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    least = one.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Written, so that the join reads both sides by plain shuffles, which Spark splits where a
+    # component is large; the minimum combines before its shuffle.
+    one = written(one, "rooted")
+    least = written(one.groupBy("root").agg(F.min("low").alias("component_id")), "least")
     named = one.join(least, "root").select("set_key", "component_id")
     return classes.join(named, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
