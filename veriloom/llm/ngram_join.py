@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.components import connected
 from .common import map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
+from .components import connected
 from .shared_arrays import with_ids, write_ids
 
 WORDS = 5
@@ -273,9 +273,7 @@ class SignatureTree:
         width = 64
         while width < 4 * np.median(sizes) and width < 8192:
             width *= 2
-        grid = np.zeros((len(sets), width), bool)
-        grid[np.repeat(np.arange(len(sets)), sizes), (np.concatenate(self.sets) >> np.uint64(11)) % np.uint64(width)] = True
-        bits = np.packbits(grid, axis=1).view(np.uint64)
+        bits = np.concatenate([self._bitmaps(self.sets[k : k + 512], width) for k in range(0, len(sets), 512)])
         #: (bitmap, smallest size, largest size, most shingles beyond the distinct bits), leaves first
         self.levels = [(bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(1).astype(np.int64))]
         while len(self.levels[-1][1]) > 1:
@@ -285,6 +283,12 @@ class SignatureTree:
         self.parent = list(range(len(sets)))
         self._settle()
 
+    @staticmethod
+    def _bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
+        grid = np.zeros((len(sets), width), bool)
+        grid[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), (np.concatenate(sets) >> np.uint64(11)) % np.uint64(width)] = True
+        return np.packbits(grid, axis=1).view(np.uint64)
+
     def find(self, i: int) -> int:
         while self.parent[i] != i:
             self.parent[i] = self.parent[self.parent[i]]
@@ -406,10 +410,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     roots = connected(_links(docs, classes, meetings, n, percent))
     one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"))
     one = one.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    # Written, so that the join reads both sides by plain shuffles, which Spark splits where a
-    # component is large; the minimum combines before its shuffle.
-    one = written(one, "rooted")
-    least = written(one.groupBy("root").agg(F.min("low").alias("component_id")), "least")
+    least = one.groupBy("root").agg(F.min("low").alias("component_id"))
     named = one.join(least, "root").select("set_key", "component_id")
     return classes.join(named, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
