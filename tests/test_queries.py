@@ -2,7 +2,7 @@ import pytest
 
 from conftest import DATA
 from helpers import duck, same
-from veriloom.plans.catalog import ORACLES, QUERIES
+from veriloom.plans import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

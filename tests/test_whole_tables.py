@@ -1,7 +1,7 @@
 """Queries over whole tables, beside those that are asked over a part."""
 
 from conftest import DATA
-from veriloom.plans.catalog import QUERIES
+from veriloom.plans import QUERIES
 
 
 def test_words_of_all_documents(spark):

@@ -233,7 +233,7 @@ def horvitz_thompson(spark, d):
 def largest_remainder(spark, d):
     """N01, the uncapped pass: slots of each (source, lang) cell."""
     cells = t(spark, d, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"))
-    return sampling.remainders(cells, 97, "n", ["source", "lang"])
+    return sampling.apportioned(cells, 97, "n", ["source", "lang"])
 
 
 @query(
@@ -333,7 +333,7 @@ def utterance_excerpt(spark, d):
     """Each long document round its middle sentence."""
     docs = t(spark, d, "documents").where("text is not null")
     display = F.concat(F.substr("text", F.floor(F.length("text") / 2).cast("int") + 1, F.lit(40)), F.lit(" [...] "), F.substr("text", F.floor(F.length("text") / 2).cast("int") + 200, F.lit(40)))
-    return docs.select("doc_id", excerpt.excerpt_of("text", display).alias("e")).select("doc_id", "e.text", F.size("e.spans").alias("n_spans"), "e.truncated")
+    return docs.select("doc_id", excerpt.excerpt_of(F.col("text"), display).alias("e")).select("doc_id", "e.text", F.size("e.spans").alias("n_spans"), "e.truncated")
 
 
 @query("SELECT doc_id, substr(sha256(coalesce(source, '') || chr(31) || coalesce(text, '')), 1, 16) AS public_id, (('0x' || substr(sha256(coalesce(source, '') || chr(31) || coalesce(text, '')), 1, 1))::INTEGER % 8) AS shard FROM documents")
@@ -374,14 +374,14 @@ def presentable_text(spark, d):
 
 
 @query(
-    """WITH r AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN role || ' (unclear)' WHEN 1 THEN '' WHEN 2 THEN 'Mr. ' || role ELSE '(procedural)' END AS display, CASE WHEN turn % 5 = 0 THEN 'unspecified' WHEN turn % 7 = 0 THEN 'unnamed aide' ELSE '' END AS role2 FROM conversations)
-    SELECT conv_id, turn, CASE WHEN display = '' OR role2 = 'unspecified' THEN 'unidentified' WHEN display = '(procedural)' THEN 'unidentified' WHEN display LIKE '%(unclear)' THEN 'ambiguous' WHEN role2 LIKE 'unnamed%' THEN 'ambiguous' ELSE 'resolved' END AS resolution,
-    CASE WHEN display = '(procedural)' THEN '' WHEN display LIKE '% (unclear)' THEN replace(display, ' (unclear)', '') ELSE display END AS shown FROM r"""
+    """WITH r AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN role || ' (identity unclear)' WHEN 1 THEN '' WHEN 2 THEN 'Mr. ' || role ELSE '(procedural)' END AS display, CASE WHEN turn % 5 = 0 THEN 'unspecified' WHEN turn % 7 = 0 THEN 'unnamed aide' ELSE '' END AS role2 FROM conversations)
+    SELECT conv_id, turn, CASE WHEN display = '' OR role2 = 'unspecified' THEN 'unidentified' WHEN display = '(procedural)' THEN 'unidentified' WHEN display LIKE '%(identity unclear)' THEN 'ambiguous' WHEN role2 LIKE 'unnamed%' THEN 'ambiguous' ELSE 'resolved' END AS resolution,
+    CASE WHEN display = '(procedural)' THEN '' WHEN display LIKE '% (identity unclear)' THEN replace(display, ' (identity unclear)', '') ELSE display END AS shown FROM r"""
 )
 def speaker_resolution(spark, d):
     """F21, F22."""
     k = F.col("turn") % 4
-    display = F.when(k == 0, F.concat("role", F.lit(" (unclear)"))).when(k == 1, "").when(k == 2, F.concat(F.lit("Mr. "), "role")).otherwise("(procedural)")
+    display = F.when(k == 0, F.concat("role", F.lit(" (identity unclear)"))).when(k == 1, "").when(k == 2, F.concat(F.lit("Mr. "), "role")).otherwise("(procedural)")
     role = F.when(F.col("turn") % 5 == 0, "unspecified").when(F.col("turn") % 7 == 0, "unnamed aide").otherwise("")
     return t(spark, d, "conversations").select("conv_id", "turn", speakers.resolution(display, role).alias("resolution"), speakers.clean_display(display).alias("shown"))
 
@@ -559,7 +559,7 @@ def label_drift(spark, d):
 def stratified_draw(spark, d):
     """Three documents of each source in the order of a seeded hash."""
     docs = t(spark, d, "documents").select("doc_id", "source")
-    slots = {(r["source"],): 3 for r in docs.groupBy("source").count().collect()}
+    slots = docs.select("source").distinct().withColumn("slots", F.lit(3))
     return sampling.drawn(docs, "doc_id", ["source"], slots, 7)
 
 
