@@ -20,7 +20,9 @@ so no task holds more than two parts.
 
 Defined results: null or empty text has no shingles, links with nothing and is its own component;
 a text with fewer than n words has one shingle, the whole sequence; rows that repeat count as
-copies; other columns are ignored.
+copies; rows with one doc_id and different texts, and rows without doc_id, link as others do (inside, a
+row goes by a 64-bit hash of doc_id and text); a component without any doc_id has none; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, mix64, only, per_group, signed, slices, texts_of, words, written
@@ -123,17 +125,17 @@ def _dealt(token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and set_key (null for an empty set) of every document."""
+    """doc_id, row_key, n_shingles and set_key (null for an empty set) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = shingles(texts_of(b), n)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "set_key"],
+                [b.column("doc_id"), b.column("row_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())],
+                names=["doc_id", "row_key", "n_shingles", "set_key"],
             )
 
-    return written(map_arrow(docs, run, "doc_id long, n_shingles long, set_key long"), "classes")
+    return written(map_arrow(docs, run, "doc_id long, row_key long, n_shingles long, set_key long"), "classes")
 
 
 def _frequent(docs: DataFrame, n: int, bits: int) -> np.ndarray:
@@ -373,11 +375,11 @@ def _links(docs: DataFrame, classes: DataFrame, meetings: DataFrame, n: int, per
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = meetings.join(sizes, "block").select("set_key", "block", part.alias("own"), other.alias("other"))
     dealt = dealt.select("set_key", F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")).alias("block"))
-    one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("row_key").alias("row_key"))
     dealt = written(dealt.join(one, "set_key"), "blocks")
     # Only members' texts are shuffled.
-    members = with_ids(docs, *write_ids(dealt.select("doc_id").distinct(), dealt.count()))
-    rows = dealt.join(members, "doc_id").select("set_key", "block", "text")
+    members = with_ids(docs.select("row_key", "text"), *write_ids(dealt.select("row_key").distinct(), dealt.count()), "row_key")
+    rows = dealt.join(members, "row_key").select("set_key", "block", "text")
     groups = max(1, meetings.count() // max(1, BLOCK_SETS // 4))
     rows = rows.withColumn("task", F.pmod(F.col("block"), F.lit(groups)))
 
@@ -400,23 +402,40 @@ def _links(docs: DataFrame, classes: DataFrame, meetings: DataFrame, n: int, per
     return per_group(rows, "task", join, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def _row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What tells rows apart, whether or not their doc_id repeats or is null."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
+
+
+def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, row_key, n_shingles, root (null for an empty set) and component_id of every document."""
     docs = only(docs, "doc_id", "text")
     size = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = _bits(size)
-    classes = _classes(docs, n)
+    keyed = docs.withColumn("row_key", _row_key())
+    classes = _classes(keyed, n)
     meetings = _meetings(docs, n, percent, bits, _frequent(docs, n, bits))
-    roots = connected(_links(docs, classes, meetings, n, percent))
+    roots = connected(_links(keyed, classes, meetings, n, percent))
     one = classes.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"))
     one = one.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
     least = one.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = one.join(least, "root").select("set_key", "component_id")
-    return classes.join(named, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = one.join(least, "root").select("set_key", "root", "component_id")
+    return classes.join(named, "set_key", "left").select("doc_id", "row_key", "n_shingles", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    return _components(docs, n, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def near_deduplicated(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the smallest of their component; rows without
-    doc_id stay, since no other row can stand for them."""
-    kept = written(jaccard_components(docs, n, percent).where("doc_id = component_id").select("doc_id"), "kept")
-    return with_ids(docs, *write_ids(kept, kept.count()))
+    """The rows of ``docs`` (all columns) that stand for their component: one of those with its smallest
+    doc_id, or without any where none has one, and its equals in doc_id and text.  Rows with empty
+    sets are linked with nothing and stay."""
+    found = written(_components(docs, n, percent).where("doc_id <=> component_id").select("root", "row_key"), "kept")
+    kept = found.where("root is not null").groupBy("root").agg(F.min("row_key").alias("row_key")).select("row_key")
+    kept = kept.union(found.where("root is null").select("row_key"))
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return with_ids(docs.withColumn(name, _row_key()), *write_ids(kept, found.count()), name).drop(name)
