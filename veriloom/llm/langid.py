@@ -41,6 +41,8 @@ MAX_REJECTED = 0.002
 #: Highest score that may be asked for, whatever calibration says.
 HIGHEST_BAR = 0.6
 UNKNOWN = "und"
+#: Characters whose subwords are looked up at a time, so that the arrays stay in the processor's cache.
+RUN_CHARS = 60_000
 
 _letters: np.ndarray | None = None
 
@@ -107,14 +109,17 @@ class Model:
 
     def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities by text and language; which texts have letters at all."""
-        ids, starts = subwords(texts)
-        known = starts[1:] > starts[:-1]
         logits = np.zeros((len(texts), len(self.languages)))
-        if len(ids):
-            n = np.maximum(1, np.diff(starts))
-            for k in range(len(self.languages)):
-                total = np.add.reduceat(self.table[:, k][ids], starts[:-1][known], dtype=np.float64)
-                logits[known, k] = total / n[known] + self.bias[k]
+        known = np.zeros(len(texts), bool)
+        for s, e in _runs(texts):
+            ids, starts = subwords(texts[s:e])
+            n = np.diff(starts)
+            own = np.flatnonzero(n)
+            if len(own):
+                known[s + own] = True
+                for k in range(len(self.languages)):
+                    total = np.add.reduceat(self.table[:, k][ids], starts[own], dtype=np.float64)
+                    logits[s + own, k] = total / n[own] + self.bias[k]
         return softmax(logits), known
 
     def rejects(self, texts: list[str], p: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -126,6 +131,16 @@ class Model:
         return out
 
 
+def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts of RUN_CHARS characters together; a longer text ends its run."""
+    at = n = 0
+    for k, t in enumerate(texts, 1):
+        n += len(t)
+        if n >= RUN_CHARS or k == len(texts):
+            yield at, k
+            at, n = k, 0
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(-1, keepdims=True))
     return e / e.sum(-1, keepdims=True)
