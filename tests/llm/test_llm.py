@@ -515,37 +515,45 @@ def test_html_words(spark):
 
 
 # -- 9
-@pytest.mark.parametrize("share", [500, 20])
-def test_kneser_ney(monkeypatch, docs, empty, share):
+@pytest.mark.parametrize(("order", "share"), [(2, 500), (2, 20), (3, 20), (4, 500)])
+def test_kneser_ney(monkeypatch, docs, empty, order, share):
     monkeypatch.setattr(knlm, "HOT_SHARE", share)
     monkeypatch.setattr(knlm, "SHARD_BYTES", 20_000)
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
-    got = by_id(knlm.score(docs, knlm.train(docs.where(~held))))
+    got = by_id(knlm.score(docs, knlm.train(docs.where(~held), order)))
     tok = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "</s>"] for i, t in enumerate(TEXTS)}
     train = [tok[i] for i in tok if zlib.crc32(str(i).encode()) % 7 != 2]
     c = Counter(x for t in train for x in t)
     n, v = sum(c.values()), len(c)
-    bi = Counter(p for t in train for p in zip(["<s>", *t], t))
-    near = Counter(b for _, b in bi)
-    d2, d1 = (knlm.discounts([sum(x == k for x in m.values()) for k in (1, 2, 3, 4)]) for m in (bi, near))
-    total, kinds = Counter(), defaultdict(lambda: [0, 0, 0])
-    for (a, _), k in bi.items():
-        total[a] += k
-        kinds[a][min(k, 3) - 1] += 1
-    of = [sum(min(x, 3) == k for x in near.values()) for k in (1, 2, 3)]
-    off = lambda k, d: k - d[min(k, 3) - 1] if k else 0.0
-    p1 = lambda w: off(near[w], d1) / sum(near.values()) + sum(x * y for x, y in zip(d1, of)) / sum(near.values()) / (v + 1)
-
-    def p(a, w):
-        return off(bi[a, w], d2) / total[a] + sum(x * y for x, y in zip(d2, kinds[a])) / total[a] * p1(w) if total[a] else p1(w)
-
-    assert abs(sum(p("the", w) for w in [*c, "@unknown"]) - 1) < 1e-9
+
+    def grams(t):
+        t = ["<s>"] * (order - 1) + t
+        return [tuple(t[i : i + order]) for i in range(len(t) - order + 1)]
+
+    of = {order: Counter(g for t in train for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        of[k] = Counter(g[1:] for g in of[k + 1])
+    d = {k: knlm.discounts([sum(x == y for x in m.values()) for y in (1, 2, 3, 4)]) for k, m in of.items()}
+    total, kinds = {}, {}
+    for k, m in of.items():
+        total[k], kinds[k] = Counter(), defaultdict(lambda: [0, 0, 0])
+        for g, x in m.items():
+            total[k][g[:-1]] += x
+            kinds[k][g[:-1]][min(x, 3) - 1] += 1
+
+    def p(g):
+        below = p(g[1:]) if len(g) > 1 else 1 / (v + 1)
+        s, x = total[len(g)][g[:-1]], of[len(g)][g]
+        return ((x - d[len(g)][min(x, 3) - 1] if x else 0.0) + sum(a * b for a, b in zip(d[len(g)], kinds[len(g)][g[:-1]])) * below) / s if s else below
+
+    for context in (["<s>"] * (order - 1), ["the"] * (order - 1)):
+        assert abs(sum(p((*context, w)) for w in [*c, "@unknown"]) - 1) < 1e-9
     for i, t in tok.items():
         r = got[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(t), sum(c[w] > 0 for w in t), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
-        assert r["score"] == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip(["<s>", *t], t)))
-    nothing = by_id(knlm.score(docs, knlm.train(empty)))
+        assert r["score"] == pytest.approx(sum(math.log10(p(g)) for g in grams(t)))
+    nothing = by_id(knlm.score(docs, knlm.train(empty, order)))
     assert nothing[0]["n_known"] == 0 and nothing[0]["score"] == 0.0
 
 
