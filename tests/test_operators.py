@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import DATA
 from veriloom.functions import excerpt, folding, text
 from veriloom.functions.numbers import wilson
 from veriloom.operators import export, keywords, mirrors, sampling, segments, speakers, statistics, verdicts
@@ -284,3 +285,32 @@ def test_export(spark):
         e=export.english_original(F.lit("Hello"), F.lit("zh")),
     )
     assert tuple(r) == ("It is here.", "It is [...]", "Done.", True, True)
+
+
+def test_article_containers():
+    long, other = "a paragraph of the known container " * 8, "another one beside it that is longer " * 9
+    both = f'<div class="side x"><p>{other}</p></div><div id="zoom"><div><p>{long}<p>short<p>{long}</div></div>'
+    assert pages.article_of(both) == (None, f"{long.strip()}\n{long.strip()}")  # nested, unclosed paragraphs
+    assert pages.article_of(both, ("div.side",))[1] == other.strip()
+    assert pages.article_of(both, ())[1] == f"{long.strip()}\n{long.strip()}"  # the div with most text
+    few = f'<div class="content"><p>{"x" * 200}</p></div><div><p>{other}</p></div>'
+    assert pages.article_of(few)[1] == other.strip()  # 200 characters are too few
+    # No paragraph, only short ones, no div, nothing.
+    assert pages.article_of("<title> a </title><div>some <b>plain</b> text</div>") == ("a", "some plain text")
+    assert pages.article_of("<div><p>one</p><p>two</p></div>")[1] == "one two"
+    assert pages.article_of(f"<article><p>{long}</p></article>")[1] == long.strip()
+    assert pages.article_of("<title>T</title><h1> </h1>") == ("T", "T")
+    assert pages.article_of("<div></div>") == pages.article_of("") == pages.article_of(None) == (None, None)
+    # Headers, menus and scripts are not seen; a stray end tag does no harm.
+    page = f"<header><h1>Site</h1></header><h1>A<b>B</b></h1></div><div><nav>{other}</nav><p>{long}<script>{other}</script></p></section></div>"
+    assert pages.article_of(page) == ("AB", long.strip())
+
+
+def test_article_of_pages(spark):
+    """Every page against its divs, read by another way: the paragraphs are in the text with most."""
+    rows = spark.read.parquet(f"{DATA}/pages.parquet").withColumn("a", pages.article("html")).collect()
+    for r in rows:
+        seen = re.sub(r"(?is)<(script|style|nav|footer|header)\b.*?</\1\s*>|<!--.*?-->", " ", r["html"] or "")
+        words = set(pages.html.unescape(re.sub(r"<[^>]*>", " ", seen)).split())
+        assert set((r["a"]["body"] or "").split()) <= words
+        assert (r["a"]["body"] is None) == (not words)

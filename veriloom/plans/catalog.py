@@ -307,7 +307,7 @@ def json_props_extract(spark, d):
 
 @query()
 def html_article_extract(spark, d):
-    """Title and densest body of every page."""
+    """Title and body of every page."""
     return t(spark, d, "pages").select("page_id", pages.article("html").alias("a")).select("page_id", "a.title", "a.body")
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,73 +23,109 @@ def flattened(markup: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(spaced, r"(?s)<[^>]+>", ""), r"(?U)\s+", " "))
 
 
-class _Densest(HTMLParser):
-    """Text of each container's own paragraphs, and the headings."""
-
-    def __init__(self) -> None:
+# Containers of article bodies, by how much they are to be trusted.
+CONTAINERS = (
+    "div#UCAP-CONTENT",
+    "div.pages_content",
+    "div#News_Body_Txt_A",
+    "div.article-con",
+    "div#detailContent",
+    "div.TRS_Editor",
+    "div.trs_editor_view",
+    "div#con_con",
+    "div#ozoom",
+    "div#zoom",
+    "div.article",
+    "div#Content",
+    "div.content",)
+#: What no reader of an article sees, and what ends an open paragraph.
+MUTED = frozenset({"script", "style", "nav", "footer", "header"})
+ENDS_PARAGRAPH = frozenset({*"p div section article main aside ul ol dl table form blockquote pre hr h1 h2 h3 h4 h5 h6 li td th tr".split(), *MUTED} - {"script", "style"})
+
+
+@dataclass(eq=False)
+class _Span:
+    """An element and the text runs from ``first`` up to ``end`` that it holds."""
+
+    tag: str
+    id: str | None
+    classes: frozenset[str]
+    first: int
+    end: int | None = None
+
+    def answers(self, container: str) -> bool:
+        """Whether this is the container that tag#id or tag.class names."""
+        tag, mark, name = re.split(r"([#.])", container, maxsplit=1)
+        return tag == self.tag and (name == self.id if mark == "#" else name in self.classes)
+
+
+class _Outline(HTMLParser):
+    """Text runs of a page, and the spans of its containers, paragraphs and headings; linear in the page."""
+
+    def __init__(self, tags: set[str]) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, list[str]]] = []
-        self.found: list[list[str]] = []
-        self.title, self.h1, self.into, self.mute = "", "", None, 0
-        self.para: list[str] | None = None
+        self.tags = frozenset(tags | MUTED | {"div", "p", "h1", "title"})
+        self.runs: list[str] = []
+        self.spans: list[_Span] = []
+        self.open: list[_Span] = []
+        self.depth: Counter[str] = Counter()
+        self.muted = 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style", "nav", "footer", "template"):
-            self.mute += 1
-        elif tag in ("title", "h1"):
-            self.into = tag
-        elif tag in ("div", "article", "section", "main", "body"):
-            self._end_para()
-            box: list[str] = []
-            self.open.append((tag, box))
-            self.found.append(box)
-        elif tag == "p":
-            self._end_para()
-            self.para = []
-
-    def _end_para(self):
-        if self.para is not None and self.open:
-            text = " ".join("".join(self.para).split())
-            if len(text) >= 20:
-                self.open[-1][1].append(text)
-        self.para = None
+        if tag in ENDS_PARAGRAPH:
+            self.handle_endtag("p")
+        if tag in self.tags:
+            named = dict(attrs)
+            span = _Span(tag, named.get("id"), frozenset((named.get("class") or "").split()), len(self.runs))
+            if not self.muted and tag not in MUTED:
+                self.spans.append(span)
+            self.open.append(span)
+            self.depth[tag] += 1
+            self.muted += tag in MUTED
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style", "nav", "footer", "template"):
-            self.mute = max(0, self.mute - 1)
-        elif tag in ("title", "h1"):
-            self.into = None
-        elif tag == "p":
-            self._end_para()
-        elif any(t == tag for t, _ in self.open):
-            self._end_para()
-            while self.open.pop()[0] != tag:
-                pass
+        while self.depth[tag]:
+            span = self.open.pop()
+            span.end = len(self.runs)
+            self.depth[span.tag] -= 1
+            self.muted -= span.tag in MUTED
+            if span.tag == tag:
+                return
 
     def handle_data(self, data):
-        if self.mute:
-            return
-        if self.into == "title":
-            self.title += data
-        elif self.into == "h1":
-            self.h1 += data
-        elif self.para is not None:
-            self.para.append(data)
-
-    def close(self):
-        super().close()
-        self._end_para()
-
-
-def article_of(page: str | None) -> tuple[str | None, str | None]:
-    """Title (h1 over title) and the paragraphs of the container that has most."""
+        if not self.muted and (data := data.strip()):
+            self.runs.append(data)
+
+    def text(self, span: _Span, between: str = " ") -> str:
+        return " ".join(between.join(self.runs[span.first : span.end]).split())
+
+
+def article_of(page: str | None, containers: tuple[str, ...] = CONTAINERS) -> tuple[str | None, str | None]:
+    """Title (first h1 over title) and paragraphs of 20 characters and more (P09), a line each.
+
+    They are those anywhere below the first of ``containers`` whose first element holds over 200
+    characters, else below the div with the most text, else of the whole page.  Where none is long
+    enough, the body is all text there; null where there is none.
+    """
     if not page:
         return None, None
-    p = _Densest()
+    p = _Outline({re.split("[#.]", c)[0] for c in containers})
     p.feed(page)
     p.close()
-    best = max(p.found, key=lambda b: sum(map(len, b)), default=[])
-    return " ".join((p.h1 or p.title).split()) or None, "\n".join(best) or None
+    upto = [0, *accumulate(map(len, p.runs))]
+    for span in p.open:
+        span.end = len(p.runs)
+
+    def size(span: _Span) -> int:
+        return upto[span.end] - upto[span.first]
+
+    known = (next((s for s in p.spans if s.answers(c)), None) for c in containers)
+    body = next((s for s in known if s and size(s) > 200), None) or max((s for s in p.spans if s.tag == "div"), key=size, default=_Span("", None, frozenset(), 0, len(p.runs)))
+    at = p.spans.index(body) if body in p.spans else -1
+    inside = [s for s in p.spans[at + 1 :] if s.tag == "p" and s.end <= body.end]
+    lines = [x for s in inside or [body] if len(x := p.text(s)) >= 20] or [p.text(body)]
+    heads = (next((s for s in p.spans if s.tag == tag), None) for tag in ("h1", "title"))
+    return next((x for s in heads if s and (x := p.text(s, ""))), None), "\n".join(lines) or None
 
 
 @F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType())]))
