@@ -517,7 +517,7 @@ def statement_authors(spark, d):
     return t(spark, d, "documents").select("doc_id", records.statement_author(F.concat(head, F.lit(" "), F.coalesce(F.lower("text"), F.lit(""))), "Chairman|Senator", "Committee").alias("author"))
 
 
-@query("""SELECT doc_id, 'a b ' || doc_id || ' c' AS flat, 'AiActOf' || doc_id AS slug, 'one' || chr(10) || 'two' AS clean FROM documents""")
+@query("""SELECT doc_id, 'a b ' || doc_id || ' c' AS flat, 'AIactof' || doc_id AS slug, 'one' || chr(10) || 'two' AS clean FROM documents""")
 def markup_texts(spark, d):
     """Tags to text, titles to slugs, editorial marks gone."""
     i = F.col("doc_id").cast("string")

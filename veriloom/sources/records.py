@@ -155,8 +155,8 @@ def week_starts(spans: DataFrame) -> DataFrame:
 
 
 def url_slug(title: Column) -> Column:
-    """Letters and digits of a title in camel order, without blanks and marks."""
-    return F.regexp_replace(F.initcap(F.regexp_replace(title, r"[^A-Za-z0-9 ]", "")), " +", "")
+    """ASCII letters and digits of a title; debate where there are none."""
+    return F.coalesce(F.nullif(F.regexp_replace(title, "[^A-Za-z0-9]", ""), F.lit("")), F.lit("debate"))
 
 
 def markup_clean(text: Column, markers: str = r"\[[A-Z]{2}\]") -> Column:
