@@ -52,16 +52,21 @@ ASSEMBLEE = """<c xmlns="http://x"><metadonnees><dateSeance>20240507150000</date
 <paragraphe><texte>nobody</texte></paragraphe><paragraphe><orateurs><orateur><nom>Mme B</nom></orateur></orateurs><texte>quatre</texte></paragraphe></c>"""
 
 
+SENAT = """<?xml version="1.0" encoding="UTF-8"?><c:r xmlns:c="http://c" xmlns="http://h"><c:intervenant nom="A" civ="M." qua="ministre" mat="7"><p><span class="orateur_nom">M. A.</span>Un é<b>té</b> <span class="info_entre_parentheses">(Rires.)</span> ici</p><p> </p><p>deux</p></c:intervenant>
+<c:intervenant nom=""><p>personne</p></c:intervenant></c:r>"""
+
+
 @pytest.mark.parametrize(
     ("name", "native_id", "xml", "context", "turns"),
     [
         ("ca_commons", "441-007", COMMONS, "House of Commons, sitting 44-1/7", [("Hon. A B", "9", "one two\nthree")]),
         ("de_bundestag", "20008", BUNDESTAG, "Bundestag, Plenarprotokoll 20/8", [("A B (F)", "5", "eins\nzwei")]),
         ("fr_assemblee", "CR1", ASSEMBLEE, "Assemblée nationale, séance du 2024-05-07", [("M. A", "PA1", "un deux\ntrois"), ("Mme B", None, "quatre")]),
+        ("fr_senat", "d20240507", SENAT, "Sénat, séance du 2024-05-07", [("M. A (ministre)", "7", "Un été ici\ndeux")]),
     ],
 )
 def test_sittings(spark, name, native_id, xml, context, turns):
-    rows = [(native_id, "u", xml.encode()), ("broken", "u", b"<a"), ("undated", "u", b"<a/>"), (None, None, None)]
+    rows = [(native_id, "u", xml.encode("iso-8859-1" if name == "fr_senat" else "utf-8")), ("broken", "u", b"<a"), ("undated", "u", b"<a/>"), (None, None, None)]
     got = parsed(spark, name, rows, "native_id string, url string, content binary")
     assert [(r["speaker_raw"], r["speaker_native_id"], r["text"]) for r in got] == turns
     assert {(str(r["doc_date"]), r["speech_context"], r["doc_type"]) for r in got} == {("2024-05-07", context, "debate")}
@@ -74,5 +79,16 @@ def test_articles(spark):
     assert (a["native_id"], a["title"], a["doc_type"], a["speaker_raw"], a["is_verbatim"]) == ("t20240507_11", "T", "readout", None, False)
 
 
+def test_singapore(spark):
+    said = "<p>Opening.</p><p><strong>Mr <i>A</i> (West)</strong>: One.</p><p>Two <strong>B</strong>: three.</p><p><strong>Order</strong> please</p><p> <strong>C:</strong>: </p><p>x"
+    sections = [{"content": said, "sectionType": "OA", "title": " Bill "}, {"content": None}, {"content": "<p><strong>D</strong>: four</p>", "sectionType": None, "title": ""}]
+    report = {"metadata": {"parlimentNO": 14, "sessionNO": 2, "sittingNO": 120, "sittingDate": "07-05-2024"}, "takesSectionVOList": sections}
+    raw = spark.createDataFrame([("u", json.dumps(report)), ("v", "{}"), ("w", None)], "url string, content string").withColumn("doc_date", F.lit("2024-05-07").cast("date"))
+    got = REGISTRY.parsed({"sg_parliament": raw}).orderBy("seq").collect()
+    assert [(r["seq"], r["speaker_raw"], r["text"]) for r in got] == [(0, None, "Opening."), (1, "Mr A (West)", "One.\nTwo B : three.\nOrder please"), (2, "D", "four")]
+    assert {(r["native_id"], r["title"]) for r in got} == {("14-2-120", "Parliament of Singapore, Sitting No. 120 (07-05-2024)")}
+    assert [r["speech_context"] for r in got] == ["Parliament of Singapore (OA): Bill"] * 2 + ["Parliament of Singapore ()"]
+
+
 def test_registry_names():
-    assert len(REGISTRY.chosen()) == 12 and {s.jurisdiction for s in REGISTRY.values()} == {"JP", "UK", "US", "CA", "DE", "FR", "CN"}
+    assert len(REGISTRY.chosen()) == 14 and {s.jurisdiction for s in REGISTRY.values()} == {"JP", "UK", "US", "CA", "DE", "FR", "SG", "CN"}

@@ -6,8 +6,9 @@ one utterance.  A response that cannot be read gives no rows.  Fetching is the c
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
+from html.parser import HTMLParser
 from itertools import groupby
 from xml.etree import ElementTree
 
@@ -193,12 +194,45 @@ def assemblee_sitting(root: ElementTree.Element, native_id: str) -> tuple | None
     return day and (day, f"AN, séance du {root.findtext('.//an:metadonnees/an:dateSeanceJour', None, ns)}", f"Assemblée nationale, séance du {day.isoformat()}", turns)
 
 
-def _sittings(walk: Callable[[ElementTree.Element, str], tuple | None]) -> Callable[[DataFrame], DataFrame]:
-    """Parser of XML files (native_id, url, content as bytes): a file without a date gives no rows."""
+# Classes of spans that are not speech.
+ASIDES = frozenset({"orateur_nom", "info_entre_parentheses"})
+
+
+def _local(node: ElementTree.Element) -> str:
+    return node.tag.rpartition("}")[2]
+
+
+def _without_asides(node: ElementTree.Element) -> Iterator[str]:
+    """Text of a node but for names and stage directions; what follows those stays."""
+    yield node.text or ""
+    for kid in node:
+        if _local(kid) != "span" or kid.get("class") not in ASIDES:
+            yield from _without_asides(kid)
+        yield kid.tail or ""
+
+
+def senat_sitting(root: ElementTree.Element, native_id: str) -> tuple | None:
+    """Interventions of a sitting, whose id holds its day, such as d20240507."""
+    day = _day(native_id[1:5], native_id[5:7], native_id[7:9])
+    turns = []
+    for said in root.iter():
+        name = (said.get("nom") or "").strip()
+        if _local(said) == "intervenant" and name:
+            lines = [" ".join("".join(_without_asides(p)).split()) for p in said.iter() if _local(p) == "p"]
+            who = f"{said.get('civ', '')} {name}".strip() + (f" ({said.get('qua')})" if said.get("qua") else "")
+            if text := "\n".join(filter(None, lines)):
+                turns.append((who, said.get("mat"), text))
+    sitting = day and f"Sénat, séance du {day.isoformat()}"
+    return day and (day, sitting, sitting, turns)
+
+
+def _sittings(walk: Callable[[ElementTree.Element, str], tuple | None], encoding: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Parser of XML files (native_id, url, content as bytes): a file without a date gives no rows.
+    ``encoding`` is that of files which declare another."""
 
     def one(content: bytes | None, native_id: str | None) -> tuple:
         try:
-            got = walk(ElementTree.fromstring(bytes(content or b"")), native_id or "")
+            got = walk(ElementTree.fromstring(bytes(content or b""), ElementTree.XMLParser(encoding=encoding)), native_id or "")
         except ElementTree.ParseError:
             got = None
         return got or (None, None, None, [])
@@ -228,6 +262,70 @@ def articles(raw: DataFrame) -> DataFrame:
     return rows.where(F.length("text") >= 100)
 
 
+class _Paragraphs(HTMLParser):
+    """Paragraphs as (label, text): the label is a strong element at their very beginning."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: list[tuple[list[str], list[str]]] = []
+        self.state = "out"
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "p":
+            self.found.append(([], []))
+            self.state = "fresh"
+        elif self.state == "fresh":
+            self.state = "label" if tag == "strong" else "text"
+
+    def handle_endtag(self, tag):
+        if tag == "p":
+            self.state = "out"
+        elif tag == "strong" and self.state == "label":
+            self.state = "text"
+
+    def handle_data(self, data):
+        if self.state != "out" and (data := " ".join(data.split())):
+            if self.state == "fresh":
+                self.state = "text"
+            self.found[-1][self.state == "text"].append(data)
+
+
+def labelled_turns(page: str | None) -> list[tuple[str | None, str]]:
+    """Turns that <p><strong>label</strong>: opens, carried on by other paragraphs; what comes before the
+    first is nobody's."""
+    p = _Paragraphs()
+    p.feed(page or "")
+    p.close()
+    turns: list[tuple[str | None, list[str]]] = [(None, [])]
+    for label, text in ((" ".join(a), " ".join(b)) for a, b in p.found):
+        if label and text.startswith(":"):
+            turns.append((label.strip(" \t–—:-") or None, [text[1:].strip()]))
+        else:
+            turns[-1][1].append(f"{label} {text}".strip())
+    whole = ((who, "\n".join(filter(None, lines))) for who, lines in turns)
+    return [(who, text) for who, text in whole if len(text) > 1]
+
+
+_SECTION_TURNS = T.ArrayType(T.StructType().add("section", T.IntegerType()).add("speaker", "string").add("text", "string"))
+
+
+@F.pandas_udf(_SECTION_TURNS)
+def section_turns(sections: pd.Series) -> pd.Series:
+    return sections.map(lambda own: [{"section": i, "speaker": who, "text": text} for i, page in enumerate(own if own is not None else ()) for who, text in labelled_turns(page)])
+
+
+def singapore(raw: DataFrame) -> DataFrame:
+    """Reports of sittings (url, doc_date, content as JSON); one without metadata gives no rows."""
+    fields = "metadata struct<parlimentNO string, sessionNO string, sittingNO string, sittingDate string, dateToDisplay string>, takesSectionVOList array<struct<content string, sectionType string, title string>>"
+    r = raw.select("url", "doc_date", F.from_json("content", fields).alias("r")).select("url", "doc_date", "r.*").where(some(F.col("metadata.sittingDate")).isNotNull())
+    r = r.select("*", section_turns(F.transform("takesSectionVOList", lambda s: s["content"])).alias("turns")).select("*", F.posexplode("turns").alias("at", "turn"))
+    ids = [F.coalesce(F.col(f"metadata.{c}"), F.lit("")) for c in ("parlimentNO", "sessionNO", "sittingNO")]
+    section = F.get("takesSectionVOList", F.col("turn.section"))
+    place = F.concat(F.lit("Parliament of Singapore ("), F.coalesce(section["sectionType"], F.lit("")), F.lit(")"))
+    shown = F.coalesce(some(F.col("metadata.dateToDisplay")), F.date_format("doc_date", "dd-MM-yyyy"))
+    return _utterances(r, native_id=F.concat_ws("-", *ids), url=F.col("url"), doc_date=F.col("doc_date"), title=F.format_string("Parliament of Singapore, Sitting No. %s (%s)", ids[2], shown), doc_type=F.lit("debate"), seq=F.col("at"), speaker_raw=F.col("turn.speaker"), text=F.col("turn.text"), speech_context=F.concat_ws(": ", place, some(stripped(section["title"]))))
+
+
 REGISTRY = Registry()
 for _source in (
     Source("jp_kokkai", "JP", kokkai, languages=("ja",)),
@@ -236,6 +334,8 @@ for _source in (
     Source("ca_commons", "CA", _sittings(commons_sitting)),
     Source("de_bundestag", "DE", _sittings(bundestag_sitting), languages=("de",)),
     Source("fr_assemblee", "FR", _sittings(assemblee_sitting), languages=("fr",)),
+    Source("fr_senat", "FR", _sittings(senat_sitting, "iso-8859-1"), languages=("fr",)),
+    Source("sg_parliament", "SG", singapore),
     *[Source(name, "CN", articles, languages=("zh", "en")) for name in ("cn_mfa", "cn_gov", "cn_cac", "cn_most", "cn_miit", "cn_people")],
 ):
     REGISTRY.add(_source)
