@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import DATA
 from veriloom.functions import excerpt, folding, text
 from veriloom.functions.numbers import wilson
-from veriloom.operators import export, keywords, mirrors, sampling, segments, speakers, statistics, verdicts
+from veriloom.operators import export, keywords, mirrors, promotion, sampling, segments, speakers, statistics, verdicts
 from veriloom.operators.components import connected
 from veriloom.operators.keywords import TermList
 from veriloom.sources import archive, ledger, pages
@@ -191,6 +192,29 @@ def test_mirrors(spark):
     assert got == {1: ([4, 2, 3], 3), 5: ([], 0), 6: ([], 0)}
 
 
+def test_mirrors_once(spark):
+    """As array_distinct: nulls in and for structs, empty and null arrays, the first of each in its place."""
+    rnd = random.Random(2)
+    some = lambda: None if rnd.random() < 0.1 else (rnd.choice("abc"), rnd.choice(["u", "v", None]), rnd.choice([None, "2024-01-01"]))
+    rows = [([some() for _ in range(rnd.randrange(30))],) for _ in range(60)] + [(None,), ([],), ([None, None],)]
+    df = frame(spark, rows, "m array<struct<source:string,url:string,date:string>>")
+    assert all(r["got"] == r["want"] for r in df.select(mirrors.once(F.col("m")).alias("got"), F.array_distinct("m").alias("want")).collect())
+
+
+def test_promoted_mirrors_of_hot_quotes(spark):
+    """Many quotes of one key, with mirrors, without and with null: no comparison of each mirror with each."""
+    n = 5_000
+    mirror = lambda k: F.struct(F.format_string("s%06d", k).alias("source"), F.lit("u").alias("url"), F.lit(None).cast("date").alias("date"))
+    own = F.when(F.col("id") == 0, F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: mirror(F.lit(n - 1)))).when(F.col("id") == 1, F.array().cast("array<struct<source:string,url:string,date:date>>"))
+    quotes = spark.range(150).select(F.col("id").alias("candidate_id"), F.when(F.col("id") < 149, "k").otherwise("other").alias("span_key"), own.alias("mirrors"))
+    twins = spark.range(2 * n).select(F.lit("k").alias("span_key"), mirror(F.col("id") % n)["source"].alias("source"), F.lit("u").alias("url"), F.lit(None).cast("date").alias("date"))
+    start = time.monotonic()
+    shown = promotion.with_promoted_mirrors(quotes, twins).select("candidate_id", F.size("mirrors").alias("n"), F.slice("mirrors", 1, 2)["source"].alias("first"))
+    got = {r["candidate_id"]: (r["n"], r["first"]) for r in shown.collect()}
+    assert time.monotonic() - start < 30
+    assert got == {i: (n, ["s000000", "s000001"]) for i in range(1, 149)} | {0: (n, [f"s{n - 1:06d}", "s000000"]), 149: (0, [])}
+
+
 def test_containment(spark):
     """Against every pair: copies, texts without blanks, short texts, nulls in group or text."""
     rnd = random.Random(1)

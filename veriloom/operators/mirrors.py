@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import grams
+from ..functions.excerpt import let
 from ..storage import written
 from .components import connected
 
@@ -92,6 +93,14 @@ def with_mirrors(kept: DataFrame, row_id: str, child: DataFrame) -> DataFrame:
     return kept.join(lists.select(row_id, shown.alias("mirrors")), row_id, "left").withColumn("mirrors", F.coalesce("mirrors", F.array()))
 
 
+def once(values: Column) -> Column:
+    """An array of structs without repeats, the first of each in its place: what array_distinct returns, which
+    compares structs each with each.  Here they are sorted, with their places, and compared with the one before."""
+    placed = F.sort_array(F.transform(values, lambda v, i: F.struct(v.alias("v"), i.alias("i"))))
+    firsts = let(placed, lambda p: F.filter(p, lambda x, k: (k == 0) | ~x["v"].eqNullSafe(F.get(p, k - 1)["v"])))
+    return F.transform(F.sort_array(F.transform(firsts, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v")))), lambda x: x["v"])
+
+
 def survivor_rank(text: Column, precision: Column, date: Column, source: Column) -> list[Column]:
     """Longest text, real day, earliest date, then source (W06): the smallest comes first."""
     return [-F.length(F.coalesce(text, F.lit(""))), F.when(F.coalesce(precision, F.lit("day")) == "day", 0).otherwise(1), F.coalesce(date.cast("string"), F.lit("9999-99-99")), F.coalesce(source, F.lit(""))]

@@ -11,6 +11,7 @@ from ..functions.text import words_shown, spliced
 from ..schemas import MULTILINGUAL_TAGS
 from ..sources.records import review_status
 from . import sampling, verdicts
+from .mirrors import once
 from .speakers import jurisdiction
 
 
@@ -28,10 +29,11 @@ def refreshed(quotes: DataFrame, best: DataFrame) -> DataFrame:
 
 def with_promoted_mirrors(quotes: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Quotes with what their duplicates were added to their mirrors, once each (V13).  ``duplicates`` has
-    span_key, source, url, date."""
+    span_key, source, url, date.  Quotes without mirrors take the set of their key as it is."""
     m = duplicates.groupBy("span_key").agg(F.sort_array(F.collect_set(F.struct("source", "url", "date"))).alias("new_mirrors"))
     none = F.expr("cast(array() as array<struct<source:string,url:string,date:date>>)")
-    return quotes.join(m, "span_key", "left").withColumn("mirrors", F.array_distinct(F.concat(F.coalesce("mirrors", none), F.coalesce("new_mirrors", none)))).drop("new_mirrors")
+    old, new = F.coalesce("mirrors", none), F.coalesce("new_mirrors", none)
+    return quotes.join(m, "span_key", "left").withColumn("mirrors", F.when(F.size(old) == 0, new).otherwise(once(F.concat(old, new)))).drop("new_mirrors")
 
 
 def quotes_of(rows: DataFrame) -> DataFrame:

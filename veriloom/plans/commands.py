@@ -147,7 +147,7 @@ def publish(store: Store, path: str, version: str, generated: str, excluded: tup
     kept, child = mirrors.collapsed(q, "id", links, rank, {"source": F.col("source"), "url": F.col("source_url"), "date": F.col("date")})
     # Promotion's mirrors first, then those that collapsed here.
     shown = mirrors.with_mirrors(kept.withColumnRenamed("mirrors", "promoted_mirrors"), "id", child)
-    out = shown.withColumn("mirrors", F.array_distinct(F.concat("promoted_mirrors", "mirrors"))).drop("promoted_mirrors", "n_mirrors")
+    out = shown.withColumn("mirrors", mirrors.once(F.concat("promoted_mirrors", "mirrors"))).drop("promoted_mirrors", "n_mirrors")
     out = out.select(
         "*",
         F.col("speaker_display").alias("speaker"),
