@@ -3,6 +3,8 @@ tables; language scores and table layout against plain versions."""
 
 import math
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -104,6 +106,25 @@ def bucket(gram):
     return one((h + len(gram)) % 2**64) % langid.BUCKETS
 
 
+def test_language_sample_stays_small_on_the_driver(spark, monkeypatch):
+    """What the driver's Python takes for a sample is its shares and little else; buckets and shares are right."""
+    d = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) > 600")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda bags, *rest: seen.append((tracemalloc.get_traced_memory()[1], bags)))
+    langid.letters()
+    tracemalloc.start()
+    langid.fit(d)
+    tracemalloc.stop()
+    most, bags = seen[0]
+    assert most < 2_000_000 + 16 * sum(len(ids) for ids, _ in bags)
+    got = Counter((tuple(ids.tolist()), tuple(share.tolist())) for ids, share in bags)
+    own = Counter()
+    for t in (r["text"] for r in d.collect()):
+        ids, n = np.unique(langid.subwords([t])[0], return_counts=True)
+        own[tuple(ids.tolist()), tuple((n / n.sum()).tolist())] += 1
+    assert len(bags) > 100 and not got - own
+
+
 def test_language_scores_one_by_one(spark):
     """Scores of whole texts, a very long one among them, against a plain sum over subwords."""
     d = spark.read.parquet(f"{DATA}/documents.parquet")

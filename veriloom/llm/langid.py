@@ -213,12 +213,24 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
         return None
     languages = tuple(sorted(set(table.column("lang").to_pylist())))
     index = {lang: i for i, lang in enumerate(languages)}
-    bags = []
-    for ids, counts in zip(table.column("ids").to_pylist(), table.column("counts").to_pylist(), strict=True):
-        c = np.array(counts, np.float64)
-        bags.append((np.array(ids, np.int64), c / c.sum()))
     alphabet = frozenset().union(*table.column("letters").to_pylist())
-    return train(bags, np.array([index[x] for x in table.column("lang").to_pylist()]), languages, alphabet)
+    return train(bags_of(table), np.array([index[x] for x in table.column("lang").to_pylist()]), languages, alphabet)
+
+
+def bags_of(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and shares of each document; the buckets are views of the table's own memory."""
+    bags = []
+    for b in table.to_batches():
+        ids, counts = b.column("ids"), b.column("counts")
+        at = ids.offsets.to_numpy().tolist()
+        own = ids.values.to_numpy()
+        n = counts.values.to_numpy()
+        to = counts.offsets.to_numpy().tolist()
+        for i in range(b.num_rows):
+            c = n[to[i] : to[i + 1]].astype(np.float64)
+            c /= c.sum()
+            bags.append((own[at[i] : at[i + 1]], c))
+    return bags
 
 
 PREDICTION = "doc_id long, lang_pred string, score double, rejected boolean"
