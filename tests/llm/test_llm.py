@@ -374,6 +374,19 @@ def test_suffix_spans_stay_few(monkeypatch, spark):
     assert sum(f.count() for f in emitted) == 50
 
 
+def test_suffix_query_cuts_from_400_bytes(spark, tmp_path):
+    """Passages of over 50 words: by contract 400 bytes go and 399 stay; the operator takes shorter ones."""
+    rnd = random.Random(5)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(n))
+    under, full = words(80), words(80) + "."
+    texts = [f"<{i}{p}{i}>" for i, p in enumerate([under, under, full, full])]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = by_id(queries.queries()["op5_suffix_dedup"](spark, str(tmp_path)))
+    assert [(len(under), len(full)), *[got[i]["n_removed"] for i in range(4)]] == [(399, 400), 0, 0, 400, 400]
+    shorter = by_id(suffix_dedup.dedup_digests(spark.read.parquet(str(tmp_path / "documents.parquet")), 250, 125))
+    assert [shorter[i]["n_removed"] for i in range(4)] == [399, 399, 400, 400]
+
+
 # -- 7
 PRIVATE = [
     "write to a.b+c@mail.example.com, or x@y, or @z.com",
